@@ -12,15 +12,18 @@ from fleetlens import constants as K
 
 def pick_property(props: Column, names: list[str]) -> Column:
     """First non-empty property: exact names in order, then the same names ignoring case."""
-    exact = [F.nullif(F.try_element_at(props, F.lit(n)), F.lit("")) for n in names]
-    lowered = F.transform(
-        F.map_entries(props), lambda e: F.struct(F.lower(e.key).alias("key"), e.value.alias("value")))
-
-    def ignoring_case(name: str) -> Column:
-        hits = F.filter(lowered, lambda e: e.key == name.lower())
-        return F.nullif(F.try_element_at(hits, F.lit(-1)).value, F.lit(""))
-
-    return F.coalesce(*exact, *[ignoring_case(n) for n in names])
+    def first_filled(values: Column) -> Column:
+        return F.get(F.filter(values, lambda v: v.isNotNull() & (v != "")), F.lit(0))
+
+    def ignoring_case(name: Column) -> Column:
+        hits = F.filter(F.map_entries(props), lambda e: F.lower(e.key) == name)
+        return F.try_element_at(hits, F.lit(-1)).value
+
+    exact = F.array(*[F.lit(n) for n in names])
+    lowered = F.array(*[F.lit(n.lower()) for n in names])
+    return F.coalesce(
+        first_filled(F.transform(exact, lambda n: F.try_element_at(props, n))),
+        first_filled(F.transform(lowered, ignoring_case)))
 
 
 def clean_zone_name(name: Column) -> Column:

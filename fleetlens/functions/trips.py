@@ -42,12 +42,12 @@ def minutes_between(start: Column, end: Column) -> Column:
 
 def endpoint(points: Column, last: bool) -> Column:
     """First or last point as a struct (lat, lon)."""
-    point = F.element_at(points, -1 if last else 1)
+    point = F.try_element_at(points, F.lit(-1 if last else 1))
     return F.struct(point[1].alias("lat"), point[0].alias("lon"))
 
 
 def end_to_end_km(points: Column) -> Column:
-    first, last = F.element_at(points, 1), F.element_at(points, -1)
+    first, last = (F.try_element_at(points, F.lit(i)) for i in (1, -1))
     return haversine_km(first[1], first[0], last[1], last[0])
 
 

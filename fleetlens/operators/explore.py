@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens.functions.text import stable_order
 from fleetlens.functions.timing import weekday_name
+from fleetlens.session import fixed_rows
 
 
 def count_by(df: DataFrame, column: str, name: str = "trips") -> DataFrame:
@@ -39,8 +40,8 @@ def trips_per_weekday(trips: DataFrame, epoch: str = "TIMESTAMP") -> DataFrame:
     """Monday to Sunday; a day without trips stays in the table with a null count."""
     ts = F.timestamp_seconds(F.col(epoch).cast("bigint"))
     counts = count_by(trips.withColumn("day_name", weekday_name(ts)), "day_name")
-    days = trips.sparkSession.createDataFrame(
-        [(i + 1, d) for i, d in enumerate(K.WEEKDAYS)], "day_number int, day_name string")
+    days = fixed_rows(
+        trips.sparkSession, ["day_number", "day_name"], [(i + 1, d) for i, d in enumerate(K.WEEKDAYS)])
     return days.join(counts, "day_name", "left").select("day_number", "day_name", "trips").orderBy("day_number")
 
 

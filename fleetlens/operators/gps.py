@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens import schemas
 from fleetlens.functions import geo, text, timing
-from fleetlens.session import materialize, small_side
+from fleetlens.session import fixed_rows, materialize, small_side
 from fleetlens.sources import zones as zs
 
 
@@ -33,22 +33,27 @@ POLYGON = NormalizeOptions()
 def parse_gps(raw: DataFrame, value: str = "value") -> DataFrame:
     """Typed GPS columns from JSON text, with ``reject_reason`` set on unusable rows.
 
-    Other columns of ``raw`` (offset, partition, ...) are kept.
+    Other columns of ``raw`` (offset, partition, ...) are kept, as ``source_...`` where the event has a
+    field of that name.
     """
+    fields = set(schemas.GPS_EVENT.fieldNames())
+    raw = raw.withColumnsRenamed({c: f"source_{c}" for c in raw.columns if c != value and c in fields})
     others = [F.col(c) for c in raw.columns if c != value]
     e = F.from_json(F.col(value).cast("string"), schemas.GPS_EVENT)
-    named = raw.select(*others, e.alias("e"))
-    stamp = F.coalesce(F.nullif("e.timestamp_utc", F.lit("")), F.nullif("e.timestamp", F.lit("")))
+    # As a generator the JSON text is parsed once per row; as a plain column, filters on the fields
+    # would be pushed below it together with copies of the parser.
+    named = raw.select(*others, F.inline(F.array(e)))
+    stamp = F.coalesce(F.nullif("timestamp_utc", F.lit("")), F.nullif("timestamp", F.lit("")))
     typed = named.select(
         *others,
-        F.coalesce("e.taxi_id", "e.vehicle_id", F.lit("unknown")).alias("taxi_id"),
+        F.coalesce("taxi_id", "vehicle_id", F.lit("unknown")).alias("taxi_id"),
         stamp.alias("__stamp"),
         timing.parse_iso(stamp).alias("event_time"),
-        F.coalesce("e.lat", "e.latitude").try_cast("double").alias("lat"),
-        F.coalesce("e.lon", "e.longitude").try_cast("double").alias("lon"),
-        F.coalesce("e.speed", F.lit("0.0")).try_cast("double").alias("speed"),
-        F.coalesce("e.status", F.lit("unknown")).alias("status"),
-        "e.event_id", "e.trip_id", "e.vehicle_id", "e.origin_zone", "e.destination_zone", "e.anomaly_type",
+        F.coalesce("lat", "latitude").try_cast("double").alias("lat"),
+        F.coalesce("lon", "longitude").try_cast("double").alias("lon"),
+        F.coalesce("speed", F.lit("0.0")).try_cast("double").alias("speed"),
+        F.coalesce("status", F.lit("unknown")).alias("status"),
+        "event_id", "trip_id", "vehicle_id", "origin_zone", "destination_zone", "anomaly_type",
     )
 
     def unusable(c: str) -> Column:
@@ -150,9 +155,9 @@ def rejects(events: DataFrame) -> DataFrame:
 
 def representative_points(df: DataFrame, zone: str = "zone_id") -> DataFrame:
     """Add the representative point of a zone, or the default point if the zone has none."""
-    points = df.sparkSession.createDataFrame(
-        [(z, lat, lon) for z, (lat, lon) in K.ZONE_POINTS.items()],
-        f"{zone} int, zone_lat double, zone_lon double")
+    points = fixed_rows(
+        df.sparkSession, [zone, "zone_lat", "zone_lon"],
+        [(z, lat, lon) for z, (lat, lon) in K.ZONE_POINTS.items()])
     lat, lon = K.DEFAULT_ZONE_POINT
     return df.join(F.broadcast(points), zone, "left").withColumns({
         "zone_lat": F.coalesce("zone_lat", F.lit(lat)), "zone_lon": F.coalesce("zone_lon", F.lit(lon))})

@@ -340,8 +340,7 @@ def zone_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","Population":'), (key * 1000 + 500).cast("string"),
         F.lit('},"geometry":{"type":"'), F.when(kind == 1, "MultiPolygon").otherwise("Polygon"),
         F.lit('","coordinates":'), coordinates, F.lit("}}"))
-    return n.select(key.alias("position"), F.from_json(geojson, schemas.GEO_FEATURE).alias("f")).select(
-        "position", "f.properties", "f.geometry")
+    return n.select(key.alias("position"), F.inline(F.array(F.from_json(geojson, schemas.GEO_FEATURE))))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ def build_session(app: str = "fleetlens", master: str | None = None, **conf: str
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -72,6 +73,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fixed_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A small table of constants as a plan of its own, without a Python worker."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark a dimension for broadcast if it is proven to hold at most ``max_rows`` rows.
 

@@ -98,6 +98,7 @@ def _polygon_cells(zones: DataFrame, size: float) -> DataFrame:
     ).withColumns({
         "lons": F.transform(F.col("rings")[0], lambda p: p[0]),
         "lats": F.transform(F.col("rings")[0], lambda p: p[1]),
+        "edges": F.transform("rings", geo.ring_edges),
     })
 
     def span(values: str) -> Column:
@@ -110,13 +111,13 @@ def _polygon_cells(zones: DataFrame, size: float) -> DataFrame:
     hi_lat = (F.col("cell_lat") + 1) * size + _PAD
     lo_lon = F.col("cell_lon") * size - _PAD
 
-    def near(ring: Column) -> Column:
-        return _reaching_edges(geo.ring_edges(ring), lo_lat, hi_lat, lo_lon)
+    def near(edges: Column) -> Column:
+        return _reaching_edges(edges, lo_lat, hi_lat, lo_lon)
 
     return cells.select(
         "cell_lat", "cell_lon", "seq", "part", "zone",
-        near(F.col("rings")[0]).alias("shell"),
-        F.transform(F.slice("rings", 2, F.greatest(F.size("rings"), F.lit(1))), near).alias("holes"))
+        near(F.col("edges")[0]).alias("shell"),
+        F.transform(F.slice("edges", 2, F.size("edges")), near).alias("holes"))
 
 
 def cell_index(zones: DataFrame, margin: float = K.BBOX_MARGIN_DEG, size: float = CELL_DEG) -> DataFrame:
