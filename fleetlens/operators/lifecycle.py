@@ -16,22 +16,30 @@ def _seconds(start: str, end: str):
     return (F.unix_timestamp(end) - F.unix_timestamp(start))
 
 
-def trip_lifecycle(updates: DataFrame) -> DataFrame:
-    """Per trip: latest status, first time of each stage, seconds between the stages.
+def stage_times(updates: DataFrame) -> DataFrame:
+    """Per trip: newest status and the first time of each stage. Applies to its own output again, so
+    stored rows and new updates can be merged.
 
     ``updates``: trip_id, status, timestamp_utc. At equal times the later stage counts as newer. Only
     mergeable aggregates are used, so a trip with very many updates is reduced before the shuffle.
     """
     rank = F.array_position(F.array(*[F.lit(s) for s in STAGES]), F.col("status"))
+    known = {
+        f"{s}_at": F.col(f"{s}_at") if f"{s}_at" in updates.columns
+        else F.when(F.col("status") == s, F.col("timestamp_utc")) for s in STAGES}
     per_trip = updates.groupBy("trip_id").agg(
         F.max(F.struct("timestamp_utc", rank.alias("stage"), "status")).alias("newest"),
-        *[F.min(F.when(F.col("status") == s, F.col("timestamp_utc"))).alias(f"{s}_at") for s in STAGES])
-    return per_trip.select(
-        "trip_id", F.col("newest.status").alias("status"), F.col("newest.timestamp_utc").alias("updated_at"),
-        *[f"{s}_at" for s in STAGES],
-        _seconds("requested_at", "accepted_at").alias("wait_sec"),
-        _seconds("accepted_at", "in_progress_at").alias("pickup_sec"),
-        _seconds("in_progress_at", "completed_at").alias("ride_sec"))
+        *[F.min(at).alias(name) for name, at in known.items()])
+    return per_trip.select("trip_id", "newest.status", "newest.timestamp_utc", *known)
+
+
+def trip_lifecycle(updates: DataFrame) -> DataFrame:
+    """Per trip: latest status, first time of each stage, seconds between the stages."""
+    return stage_times(updates).withColumnRenamed("timestamp_utc", "updated_at").withColumns({
+        "wait_sec": _seconds("requested_at", "accepted_at"),
+        "pickup_sec": _seconds("accepted_at", "in_progress_at"),
+        "ride_sec": _seconds("in_progress_at", "completed_at"),
+    })
 
 
 def blackouts(events: DataFrame, alert_seconds: int = K.BLACKOUT_ALERT_SECONDS) -> DataFrame:
@@ -56,3 +64,14 @@ def blackouts(events: DataFrame, alert_seconds: int = K.BLACKOUT_ALERT_SECONDS)
     return islands.select(
         "taxi_id", "started_at", "last_seen_at", F.col("ok_after.event_time").alias("recovered_at"),
         "pings", length.alias("seconds"), (length > alert_seconds).alias("alert"))
+
+
+def blackout_sessions(events: DataFrame, gap: str = "3 minutes", alert_seconds: int = K.BLACKOUT_ALERT_SECONDS) -> DataFrame:
+    """Runs of blackout pings of a vehicle with no pause of ``gap``; works on streams with a watermark."""
+    runs = events.filter(F.col("status") == "blackout").groupBy(
+        "taxi_id", F.session_window("event_time", gap).alias("w")
+    ).agg(F.count(F.lit(1)).alias("pings"), F.max("event_time").alias("last_seen_at"))
+    length = F.unix_timestamp("last_seen_at") - F.unix_timestamp("w.start")
+    return runs.select(
+        "taxi_id", F.col("w.start").alias("started_at"), "last_seen_at", "pings",
+        length.alias("seconds"), (length > alert_seconds).alias("alert"))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["trip_queries", "gps_queries", "trajectory_queries", "demand_queries"]
+MODULES = ["trip_queries", "gps_queries", "trajectory_queries", "demand_queries", "stream_queries"]
 
 
 def load_all() -> None:

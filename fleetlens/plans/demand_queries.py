@@ -90,13 +90,15 @@ lagged AS (
 features AS (
   SELECT zone_id, {_SLOT_TEXT} AS slot_30min, demand AS target, moment AS "timestamp", CAST(hour(moment) AS INTEGER) AS hour,
          CAST(dayofweek(moment) + 1 AS INTEGER) AS day_of_week, CASE WHEN dayofweek(moment) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
-         CASE WHEN dayofweek(moment) = 5 THEN 1 ELSE 0 END AS is_friday, CAST(moment AS DATE) AS date,
+         CASE WHEN dayofweek(moment) = 5 THEN 1 ELSE 0 END AS is_friday, CAST(CAST(moment AS DATE) AS VARCHAR) AS date,
          lag1 AS demand_lag_1d, lag7 AS demand_lag_7d, round(roll, 6) AS rolling_7d_mean
   FROM lagged WHERE lag1 IS NOT NULL AND lag7 IS NOT NULL AND roll IS NOT NULL)"""
 
 
 def _shown(df):
-    return plain_times(df.withColumn("rolling_7d_mean", F.round("rolling_7d_mean", 6)), "timestamp")
+    shown = df.withColumns({
+        "rolling_7d_mean": F.round("rolling_7d_mean", 6), "date": F.col("date").cast("string")})
+    return plain_times(shown, "timestamp")
 
 
 @query(f"WITH {b.DEMAND_SQL} {_features_sql('demand')} SELECT * FROM features")
@@ -204,7 +206,10 @@ def zone_features(spark, sf_dir):
 
 def status_updates(spark, sf_dir):
     """Updates of trips from ``lineitem``: each line moves its order to the stage of its number."""
-    li = b.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
+    return updates_of(b.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate"))
+
+
+def updates_of(li):
     stage = F.element_at(F.array(*[F.lit(s) for s in lifecycle.STAGES]), (F.col("l_linenumber") % 4 + 1).cast("int"))
     at = F.unix_timestamp(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber") * 60
     return li.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -22,14 +24,22 @@ def newest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 def merge_by_key(
     updates: DataFrame, path: str, keys: list[str], order: list[str], partition_by: list[str],
 ) -> None:
-    """Insert or replace rows by primary key, the newest row winning.
+    """Insert or replace rows by primary key, the newest row winning."""
+    merge_table(updates, path, partition_by, lambda rows: newest_per_key(rows, keys, order))
+
+
+def merge_table(
+    updates: DataFrame, path: str, partition_by: list[str], reduce: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Union the updates with the stored rows of the same partitions and store the reduced result.
 
+    ``reduce`` brings the rows to one per key and must give the same result when applied again.
     Only the partitions named by the updates are read and replaced, each in one commit (dynamic partition
     overwrite). Merging the same updates twice leaves the same table, so retries are safe.
     ``partition_by`` must be a function of the key: part of it, or a bucket of it (see ``key_bucket``).
     """
     spark = updates.sparkSession
-    fresh = newest_per_key(updates, keys, order)
+    fresh = reduce(updates)
     try:
         old = spark.read.schema(updates.schema).parquet(path)
     except AnalysisException as missing:
@@ -39,7 +49,7 @@ def merge_by_key(
     else:
         touched = fresh.select(*partition_by).distinct()
         affected = old.join(small_side(touched), partition_by, "left_semi")
-        merged = newest_per_key(affected.unionByName(fresh), keys, order)
+        merged = reduce(affected.unionByName(fresh))
     (
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).parquet(path))
