@@ -88,12 +88,10 @@ def inside_ring(edges: Column, lat: Column, lon: Column) -> Column:
 
 def ring_edges(ring: Column) -> Column:
     """Edges of a closed ring given as array of [lon, lat]; rings below 3 points have none."""
-    def edge(point: Column, i: Column) -> Column:
-        before = F.element_at(ring, F.when(i == 0, F.size(ring)).otherwise(i).cast("int"))
-        return F.struct(
-            point[0].alias("x"), point[1].alias("y"), before[0].alias("px"), before[1].alias("py"))
-    return F.when(F.size(ring) >= 3, F.transform(ring, edge)).otherwise(
-        F.array().cast("array<struct<x:double,y:double,px:double,py:double>>"))
+    before = F.concat(F.slice(ring, -1, 1), F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0))))
+    edges = F.zip_with(ring, before, lambda p, q: F.struct(
+        p[0].alias("x"), p[1].alias("y"), q[0].alias("px"), q[1].alias("py")))
+    return F.filter(edges, lambda _: F.size(ring) >= 3)
 
 
 def rescale(value: Column, lo: float, hi: float, new_lo: float, new_hi: float) -> Column:

@@ -105,17 +105,17 @@ class ZoneLookup:
         joined = cells.join(self.index, ["cell_lat", "cell_lon"], "left")
         lat, lon = F.col("lat"), F.col("lon")
 
-        def holds(poly: Column) -> Column:
-            return geo.inside_ring(poly.shell, lat, lon) & ~F.exists(
-                poly.holes, lambda h: geo.inside_ring(h, lat, lon))
-
-        zone = F.get(F.filter("polygons", holds), F.lit(0)).zone
+        hits = F.filter("polygons", lambda p: p.whole | zs.holds(p.shell, p.holes, lat, lon))
+        zone = F.coalesce("sure", F.get(hits, F.lit(0)).zone)
         if nearest_fallback:
             def ranked(z: Column) -> Column:
                 d2 = (lon - z.lon) * (lon - z.lon) + (lat - z.lat) * (lat - z.lat)
                 return F.struct(d2.alias("d2"), z.seq.alias("seq"), z.zone.alias("zone"))
-            zone = F.coalesce(zone, F.array_min(F.transform("near", ranked)).zone)
-        return joined.withColumn("zone", zone).drop("cell_lat", "cell_lon", "near", "polygons")
+            nearest = F.when(F.size("near") == 1, F.col("near")[0].zone).otherwise(
+                F.array_min(F.transform("near", ranked)).zone)
+            zone = F.coalesce(zone, nearest)
+        return joined.withColumn("zone", zone).drop(
+            "cell_lat", "cell_lon", "sure", "near", "polygons")
 
 
 def normalize(events: DataFrame, options: NormalizeOptions = POLYGON, lookup: ZoneLookup | None = None) -> DataFrame:

@@ -71,9 +71,8 @@ def with_halo(df: DataFrame, position: Column, size: int, before: int = 0, after
     units past its end. ``__own`` marks the one copy of each row that belongs to its own block.
     Needs ``before, after <= size``.
     """
-    own = F.floor(position / size)
-    blocks = F.array_distinct(F.array(
-        F.floor((position - after) / size), own, F.floor((position + before) / size)))
+    own, low, high = (F.floor(p / size) for p in (position, position - after, position + before))
+    blocks = F.when(low == high, F.array(own)).otherwise(F.array_distinct(F.array(low, own, high)))
     return (
         df.withColumn("__home", own)
         .withColumn("__block", F.explode(blocks))

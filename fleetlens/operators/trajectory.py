@@ -44,13 +44,26 @@ def drop_long_trips(trips: DataFrame, limit: float = K.MAX_TRIP_MINUTES) -> Data
     return trips.filter(F.col("estimated_duration_min") <= limit)
 
 
-def speed_array(points: Column, seconds: float = K.GPS_INTERVAL_SECONDS) -> Column:
-    """Speed at each point of a trajectory array, 0.0 at the first."""
-    def at(p: Column, i: Column) -> Column:
-        prev = F.element_at(points, F.greatest(i, F.lit(1)).cast("int"))
-        distance = geo.haversine_km(prev[1], prev[0], p[1], p[0])
-        return F.when(i == 0, F.lit(0.0)).otherwise(geo.speed_kmh(distance, F.lit(seconds)))
-    return F.transform(points, at)
+def trip_speeds(trips: DataFrame, column: str = "polyline", seconds: float = K.GPS_INTERVAL_SECONDS) -> DataFrame:
+    """One row per point with the speed since the point before, 0.0 at the first; no shuffle.
+
+    Every point is paired with its predecessor inside the array (the first one with itself) and the pairs
+    are exploded, so the distance is computed in generated code, not in a lambda.
+    """
+    points = F.col(column)
+    before = F.concat(F.slice(points, 1, 1), F.slice(points, F.lit(1), F.greatest(F.size(points) - 1, F.lit(0))))
+    others = [c for c in trips.columns if c != column]
+    pairs = trips.select(*others, F.posexplode(F.arrays_zip(
+        points.alias("p"), before.alias("q"))).alias("point_index", "pair"))
+    rows = pairs.select(
+        *others, "point_index", F.col("pair.p")[1].alias("lat"), F.col("pair.p")[0].alias("lon"),
+        F.col("pair.q")[1].alias("__lat"), F.col("pair.q")[0].alias("__lon"))
+    distance = geo.haversine_km(F.col("__lat"), F.col("__lon"), F.col("lat"), F.col("lon"))
+    return _with_status(rows.withColumn("speed", geo.speed_kmh(distance, F.lit(seconds)))).drop("__lat", "__lon")
+
+
+def _with_status(points: DataFrame) -> DataFrame:
+    return points.withColumn("status", F.when(F.col("speed") > K.MOVING_ABOVE_KMH, "moving").otherwise("idle"))
 
 
 def _near_index(points: DataFrame, before: int, after: int) -> DataFrame:
@@ -68,10 +81,8 @@ def point_speeds(points: DataFrame, seconds: float = K.GPS_INTERVAL_SECONDS) ->
         "prev_lat": F.lag("lat").over(w), "prev_lon": F.lag("lon").over(w)})
     rows = drop_halo(near)
     distance = geo.haversine_km(F.col("prev_lat"), F.col("prev_lon"), F.col("lat"), F.col("lon"))
-    return (
-        rows.withColumn("speed", F.coalesce(geo.speed_kmh(distance, F.lit(seconds)), F.lit(0.0)))
-        .withColumn("status", F.when(F.col("speed") > K.MOVING_ABOVE_KMH, "moving").otherwise("idle"))
-        .drop("prev_lat", "prev_lon"))
+    speed = F.coalesce(geo.speed_kmh(distance, F.lit(seconds)), F.lit(0.0))
+    return _with_status(rows.withColumn("speed", speed)).drop("prev_lat", "prev_lon")
 
 
 def adaptive_sample(points: DataFrame, min_km: float = 0.05, min_seconds: int = 60,

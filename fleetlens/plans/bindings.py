@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from fleetlens import schemas
 from fleetlens.functions import geo
 from fleetlens.operators.gps import ZoneLookup
-from fleetlens.session import use_utc
+from fleetlens.session import spread_small, use_utc
 from fleetlens.sources.zones import zone_dimension
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     use_utc(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread_small(df.select(*columns) if columns else df)
 
 
 def _utc(c: Column) -> Column:
@@ -111,6 +111,18 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("int").alias("TAXI_ID"), points.alias("polyline"))
 
 
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points of the same trips, one row each, as a GPS log holds them."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    key, i, n = F.col("trip_id"), F.col("i"), F.col("o_custkey") % 13
+    rows = o.filter(n > 0).select(
+        F.col("o_orderkey").alias("trip_id"), F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias("i"))
+    return rows.select(
+        "trip_id", (i - 1).cast("int").alias("point_index"),
+        (F.lit(33.45) + ((key * 17 + i * (key % 7 + 1) * 5) % 2000) / F.lit(10000.0)).alias("lat"),
+        (F.lit(-7.75) + ((key * 31 + i * (key % 13 + 1) * 3) % 2600) / F.lit(10000.0)).alias("lon"))
+
+
 POINTS_SQL = """
 points AS (
   SELECT trip_id, i - 1 AS point_index, n,

@@ -19,7 +19,7 @@ def trips(spark, sf_dir):
 
 
 def points(spark, sf_dir):
-    return t.explode_points(trips(spark, sf_dir).select("trip_id", "polyline"))
+    return b.points(spark, sf_dir)
 
 
 def _placed(spark, sf_dir):
@@ -31,7 +31,8 @@ def _placed(spark, sf_dir):
 @query(f"WITH {b.POINTS_SQL} SELECT trip_id, CAST(point_index AS INTEGER) AS point_index, "
        "round(lat, 6) AS lat, round(lon, 6) AS lon FROM points")
 def explode_points(spark, sf_dir):
-    return points(spark, sf_dir).select("trip_id", "point_index", r6("lat"), r6("lon"))
+    rows = t.explode_points(trips(spark, sf_dir).select("trip_id", "polyline"))
+    return rows.select("trip_id", "point_index", r6("lat"), r6("lon"))
 
 
 @query("SELECT count(*) AS trips, CAST(sum(o_custkey % 13) AS BIGINT) AS points FROM orders WHERE o_custkey % 13 >= 2")
@@ -110,10 +111,9 @@ def point_speeds(spark, sf_dir):
 
 @query(f"""WITH {_STEPS_SQL}
 SELECT trip_id, CAST(point_index AS INTEGER) AS point_index, coalesce(round(km / 15 * 3600, 1), 0) AS speed FROM moves""")
-def array_speeds(spark, sf_dir):
-    """The same speeds inside the array, without a shuffle."""
-    rows = trips(spark, sf_dir).select("trip_id", t.speed_array(F.col("polyline")).alias("speeds"))
-    return rows.select("trip_id", F.posexplode("speeds").alias("point_index", "speed"))
+def trip_speeds(spark, sf_dir):
+    """The same speeds from the arrays, without a shuffle."""
+    return t.trip_speeds(trips(spark, sf_dir).select("trip_id", "polyline")).select("trip_id", "point_index", "speed")
 
 
 @query(f"""WITH {_STEPS_SQL}

@@ -79,6 +79,15 @@ def fixed_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> Data
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input that fills fewer tasks than the cluster can run at once.
+
+    Large inputs have more splits than slots and pass unchanged, without an extra shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Mark a dimension for broadcast if it is proven to hold at most ``max_rows`` rows.
 

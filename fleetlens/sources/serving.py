@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from fleetlens.session import small_side
+from fleetlens.session import materialize, small_side
 
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -39,7 +39,7 @@ def merge_table(
     ``partition_by`` must be a function of the key: part of it, or a bucket of it (see ``key_bucket``).
     """
     spark = updates.sparkSession
-    fresh = reduce(updates)
+    fresh = materialize(reduce(updates), "updates")
     try:
         old = spark.read.schema(updates.schema).parquet(path)
     except AnalysisException as missing:

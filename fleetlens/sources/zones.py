@@ -14,7 +14,7 @@ from fleetlens import constants as K
 from fleetlens import schemas
 from fleetlens.functions import geo, text
 
-CELL_DEG = 0.005
+CELL_DEG = 0.0025
 _PAD = 1e-9  # cell borders are computed with rounding; edges this close belong to both sides
 
 
@@ -107,24 +107,52 @@ def _polygon_cells(zones: DataFrame, size: float) -> DataFrame:
         return F.explode(F.sequence(lo, hi))
 
     cells = polygons.withColumn("cell_lat", span("lats")).withColumn("cell_lon", span("lons"))
-    lo_lat = F.col("cell_lat") * size - _PAD
-    hi_lat = (F.col("cell_lat") + 1) * size + _PAD
-    lo_lon = F.col("cell_lon") * size - _PAD
+    lo_lat, lo_lon = F.col("cell_lat") * size - _PAD, F.col("cell_lon") * size - _PAD
+    hi_lat, hi_lon = lo_lat + size + 2 * _PAD, lo_lon + size + 2 * _PAD
 
     def near(edges: Column) -> Column:
         return _reaching_edges(edges, lo_lat, hi_lat, lo_lon)
 
-    return cells.select(
+    reaching = cells.select(
         "cell_lat", "cell_lon", "seq", "part", "zone",
         near(F.col("edges")[0]).alias("shell"),
-        F.transform(F.slice("edges", 2, F.size("edges")), near).alias("holes"))
+        F.transform(F.slice("edges", 2, F.size("edges")), near).alias("holes"),
+        F.exists(F.flatten("edges"), lambda e: _meets(e, lo_lat, hi_lat, lo_lon, hi_lon)).alias("border"))
+    # Where no edge meets the cell, all its points are on the same side, and the centre tells which.
+    mid_lat, mid_lon = (F.col("cell_lat") + 0.5) * size, (F.col("cell_lon") + 0.5) * size
+    whole = ~F.col("border") & holds(F.col("shell"), F.col("holes"), mid_lat, mid_lon)
+    return reaching.withColumn("whole", whole).filter(F.col("border") | F.col("whole")).drop("border")
+
+
+def _meets(edge: Column, lo_lat: Column, hi_lat: Column, lo_lon: Column, hi_lon: Column) -> Column:
+    """True unless the edge certainly stays outside the cell."""
+    apart = (
+        (F.greatest(edge.y, edge.py) < lo_lat) | (F.least(edge.y, edge.py) > hi_lat)
+        | (F.greatest(edge.x, edge.px) < lo_lon) | (F.least(edge.x, edge.px) > hi_lon))
+
+    def side(x: Column, y: Column) -> Column:
+        return (edge.px - edge.x) * (y - edge.y) - (edge.py - edge.y) * (x - edge.x)
+
+    corners = [side(x, y) for x in (lo_lon, hi_lon) for y in (lo_lat, hi_lat)]
+    return ~(apart | (F.least(*corners) > 0) | (F.greatest(*corners) < 0))
+
+
+def holds(shell: Column, holes: Column, lat: Column, lon: Column) -> Column:
+    """True if the point is inside the shell and in none of the holes."""
+    return geo.inside_ring(shell, lat, lon) & ~F.exists(holes, lambda h: geo.inside_ring(h, lat, lon))
 
 
 def cell_index(zones: DataFrame, margin: float = K.BBOX_MARGIN_DEG, size: float = CELL_DEG) -> DataFrame:
-    """One row per cell of the box plus margin: polygons in file order and nearest-centroid candidates."""
+    """One row per cell of the box plus margin.
+
+    ``sure`` is the zone of the whole cell, if one zone holds it and comes first. Else ``polygons`` lists,
+    in file order, what has to be tested per point, and ``near`` the zones whose centroid can be nearest.
+    """
     shapes = (
         _polygon_cells(zones, size).groupBy("cell_lat", "cell_lon")
-        .agg(F.sort_array(F.collect_list(F.struct("seq", "part", "zone", "shell", "holes"))).alias("polygons")))
+        .agg(F.sort_array(F.collect_list(
+            F.struct("seq", "part", "whole", "zone", "shell", "holes"))).alias("polygons"))
+        .withColumn("sure", F.when(F.col("polygons")[0].whole, F.col("polygons")[0].zone)))
 
     box = bounding_box(zones)
     centroids = zones.agg(F.sort_array(F.collect_list(F.struct(
@@ -154,7 +182,8 @@ def cell_index(zones: DataFrame, margin: float = K.BBOX_MARGIN_DEG, size: float
                 + square(F.greatest(F.abs(z.lon - lon0), F.abs(z.lon - lon1))))
 
     # A centroid can be the nearest one for some point of the cell only if its closest corner is not
-    # beyond the farthest corner of another centroid.
-    bounded = cells.withColumn("reach", F.array_min(F.transform("all", farthest)))
+    # beyond the farthest corner of another centroid. The generator keeps the minimum from being
+    # computed again for every element of the filter.
+    bounded = cells.withColumn("reach", F.explode(F.array(F.array_min(F.transform("all", farthest)))))
     near = F.filter("all", lambda z: closest(z) <= F.col("reach") + _PAD)
     return bounded.withColumn("near", near).drop("all", "reach").join(shapes, ["cell_lat", "cell_lon"], "left")
