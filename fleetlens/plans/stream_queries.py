@@ -78,8 +78,10 @@ def _sides(spark, sf_dir):
     return positions, requests
 
 
-# Windows are reported once the watermark, 3 minutes behind the newest event, has passed them.
-_CLOSED = " WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 3 MINUTE FROM events)"
+# Windows are reported once the watermark, 3 minutes behind the newest event of the slower side, has passed them.
+_CLOSED = """ WHERE window_end <= (
+  SELECT date_trunc('millisecond', least(max(ts) FILTER (event_type = 'purchase'), max(ts) FILTER (event_type <> 'purchase')))
+         - INTERVAL 3 MINUTE FROM events)"""
 
 
 @query(dq._supply_sql("1 HOUR") + _CLOSED)
