@@ -57,12 +57,12 @@ def curate_trips(
     The filter runs before the de-duplication, so fewer rows are shuffled and an id with one bad and
     one good polyline keeps the good one.
     """
-    cells = cell_dimension(raw.sparkSession) if cells is None else cells
+    cells = F.broadcast(cell_dimension(raw.sparkSession)) if cells is None else small_side(cells)
     clean = one_row_per_trip(usable_trips(raw)).withColumns({
         "trip_duration_sec": tf.duration_from_text(F.col("POLYLINE")),
         "zone_id": zone(F.col("TRIP_ID")),
     })
-    return clean.join(small_side(cells), "zone_id", "left")
+    return clean.join(cells, "zone_id", "left")
 
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

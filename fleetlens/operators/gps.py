@@ -86,6 +86,8 @@ class ZoneLookup:
     def __init__(self, zones: DataFrame, margin: float = K.BBOX_MARGIN_DEG):
         self.margin = margin
         kept = materialize(zones, "zones")
+        if kept.limit(zs.MAX_ZONES + 1).count() > zs.MAX_ZONES:
+            raise ValueError(f"more than {zs.MAX_ZONES} zones: split the city or use the grid")
         self.box = zs.bounding_box(kept)
         self.index = small_side(materialize(zs.cell_index(kept, margin), "zone-cells"))
 
@@ -153,6 +155,14 @@ def rejects(events: DataFrame) -> DataFrame:
     return events.filter(F.col("reject_reason").isNotNull())
 
 
+def counters() -> list[Column]:
+    """Published events and recovered blackouts, for ``agg`` or for ``observe`` on a running stream."""
+    return [
+        F.count(F.lit(1)).alias("sent"),
+        F.count_if(F.col("status") == "blackout_recovered").alias("recovered_blackouts"),
+        F.count_if(F.col("status") == "blackout").alias("blackout_pings")]
+
+
 def representative_points(df: DataFrame, zone: str = "zone_id") -> DataFrame:
     """Add the representative point of a zone, or the default point if the zone has none."""
     points = fixed_rows(

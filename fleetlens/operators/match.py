@@ -10,6 +10,8 @@ found nothing close by go on to the wider search, so dense places are never sear
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from fleetlens.operators.ordered import drop_halo, with_halo
 from fleetlens.session import materialize
 
 FRESH_SECONDS = K.LATENESS_MS // 1000
-NEAR_CELL_DEG = 0.01
+NEAR_CELLS_DEG = (0.001, 0.01)  # about 100 m and 1 km
 _MICROS = 1_000_000
 
 
@@ -55,9 +57,9 @@ def _best(pairs: DataFrame, ring: int) -> DataFrame:
         "request_id", F.lit(ring).alias("ring"), "best.*")
 
 
-def _surely_within() -> Column:
+def _surely_within(size: float) -> Column:
     """Distance below which no taxi outside the 3x3 cells can be closer."""
-    step = F.radians(F.lit(NEAR_CELL_DEG))
+    step = F.radians(F.lit(size))
     across = F.asin(F.cos(F.radians("req_lat")) * F.sin(step))
     return F.least(across, step) * (K.EARTH_RADIUS_KM * (1 - 1e-9))
 
@@ -81,7 +83,8 @@ def match_nearest(requests: DataFrame, positions: DataFrame, fresh: int = FRESH_
 
 
 def _nearest(asked: DataFrame, periods: DataFrame, taken: DataFrame | None = None) -> DataFrame:
-    """Best taxi per request: certain matches close by, then the own zone, then the neighbours.
+    """Best taxi per request: certain matches close by, in growing cells, then the own zone, then the
+    neighbours. Each search only sees the requests the one before left open.
 
     ``taken`` lists (dispatch, taxi_id) that may not be used.
     """
@@ -89,23 +92,27 @@ def _nearest(asked: DataFrame, periods: DataFrame, taken: DataFrame | None = Non
         alive = pairs.filter((F.col("at_us") >= F.col("from_us")) & (F.col("at_us") < F.col("until_us")))
         return alive if taken is None else alive.join(taken, ["dispatch", "taxi_id"], "left_anti")
 
-    close = materialize(_close_by(asked, periods, usable), "close")
-    open_requests = asked.join(close, "request_id", "left_anti")
+    found, open_requests = [], asked
+    for size in NEAR_CELLS_DEG:
+        close = materialize(_close_by(open_requests, periods, usable, size), "close")
+        found.append(close)
+        open_requests = open_requests.join(close, "request_id", "left_anti")
     own = open_requests.withColumn("zone_id", F.col("req_zone")).join(periods, ["zone_id", "bucket"])
     in_zone = materialize(_best(usable(own), 0), "in-zone")
-    still_open = open_requests.join(in_zone, "request_id", "left_anti")
-    around = still_open.withColumn("zone_id", F.explode(geo.zone_neighbours(F.col("req_zone"))))
+    found.append(in_zone)
+    open_requests = open_requests.join(in_zone, "request_id", "left_anti")
+    around = open_requests.withColumn("zone_id", F.explode(geo.zone_neighbours(F.col("req_zone"))))
     beside = _best(usable(around.join(periods, ["zone_id", "bucket"])), 1)
-    return close.unionByName(in_zone).unionByName(beside)
+    return reduce(DataFrame.unionByName, found, beside)
 
 
-def _close_by(asked: DataFrame, periods: DataFrame, usable) -> DataFrame:
+def _close_by(asked: DataFrame, periods: DataFrame, usable, size: float) -> DataFrame:
     """Own-zone matches that are certain from the 3x3 cells around the request."""
     cells = periods.withColumns({
-        "cell_lat": geo.cell(F.col("lat"), NEAR_CELL_DEG), "cell_lon": geo.cell(F.col("lon"), NEAR_CELL_DEG)})
+        "cell_lat": geo.cell(F.col("lat"), size), "cell_lon": geo.cell(F.col("lon"), size)})
 
     def around(c: str) -> Column:
-        home = geo.cell(F.col(c), NEAR_CELL_DEG)
+        home = geo.cell(F.col(c), size)
         return F.explode(F.sequence(home - 1, home + 1))
 
     spread = asked.withColumn("cell_lat", around("req_lat")).withColumn("cell_lon", around("req_lon"))
@@ -113,7 +120,7 @@ def _close_by(asked: DataFrame, periods: DataFrame, usable) -> DataFrame:
     pairs = spread.withColumn("zone_id", F.col("req_zone")).join(
         cells, ["zone_id", "bucket", "cell_lat", "cell_lon"])
     near = _best(usable(pairs), 0).join(asked.select("request_id", "req_lat"), "request_id")
-    return near.filter(F.col("distance_km") <= _surely_within()).drop("req_lat")
+    return near.filter(F.col("distance_km") <= _surely_within(size)).drop("req_lat")
 
 
 def match_exclusive(

@@ -208,6 +208,16 @@ def one_row_per_event(spark, sf_dir):
     return lateness.one_row_per_event(e)
 
 
+@query(f"""WITH {b.GPS_SQL}
+SELECT count(*) AS sent, count(*) FILTER (event_id % 13 = 0 AND status = 'moving') AS recovered_blackouts,
+       count(*) FILTER (status = 'blackout') AS blackout_pings FROM gps""")
+def publish_counters(spark, sf_dir):
+    recovered = (F.col("event_id") % 13 == 0) & (F.col("status") == "moving")
+    events = b.gps_events(b.table(spark, sf_dir, "events")).withColumn(
+        "status", F.when(recovered, "blackout_recovered").otherwise(F.col("status")))
+    return events.agg(*gps.counters())
+
+
 @query(f"""WITH {b.PARSED_SQL}
 SELECT taxi_id, max(event_time) AS event_time, arg_max({b.grid_zone_sql()}, (event_time, arrival)) AS zone_id
 FROM capped WHERE {b.IN_BOX_SQL} GROUP BY 1""")

@@ -163,8 +163,9 @@ def _lifecycle_sql():
 def stream_lifecycle(spark, sf_dir):
     root = scratch_path(spark, "lifecycle-stream")
     updates = dq.updates_of(arriving(spark, sf_dir, "lineitem"))
-    io.drain(io.each_batch(updates, jobs.lifecycle_sink(f"{root}/trips", buckets=8), f"{root}/checkpoint"))
-    trips = spark.read.parquet(f"{root}/trips").drop("bucket").withColumnRenamed("timestamp_utc", "updated_at")
+    log = jobs.LifecycleLog(f"{root}/trips")
+    io.drain(io.each_batch(updates, log.write, f"{root}/checkpoint"))
+    trips = log.trips(spark).withColumnRenamed("timestamp_utc", "updated_at")
     return plain_times(trips, "updated_at", *[f"{s}_at" for s in lifecycle.STAGES])
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.operators import demand, lifecycle, match
-from fleetlens.sources.serving import key_bucket, merge_table
 
 WATERMARK = f"{K.LATENESS_MS // 1000} seconds"
 
@@ -49,15 +47,25 @@ def blackout_stream(events: DataFrame, gap: str = "3 minutes") -> DataFrame:
     return lifecycle.blackout_sessions(watermarked(events), gap)
 
 
-def lifecycle_sink(path: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """Keeps the state of every trip in a table, so no trip stays in stream state for ever."""
-    def reduce(rows: DataFrame) -> DataFrame:
-        return lifecycle.stage_times(rows).withColumn("bucket", key_bucket("trip_id", buckets=buckets))
+@dataclass
+class LifecycleLog:
+    """Trip states as an append-only log: one reduced row per trip and batch.
+
+    No trip stays in stream state for ever and no stored row is rewritten; a repeated batch replaces its
+    own folder. ``trips`` reduces the log, ``compact`` stores the reduced form as the base of a new log.
+    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        merge_table(reduce(batch), path, ["bucket"], reduce)
+    path: str
 
-    return write
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        lifecycle.stage_times(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{self.path}/batch_id={batch_id}")
+
+    def trips(self, spark: SparkSession) -> DataFrame:
+        return lifecycle.stage_times(spark.read.parquet(self.path))
+
+    def compact(self, spark: SparkSession, path: str) -> None:
+        self.trips(spark).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
 
 
 @dataclass
@@ -75,16 +83,20 @@ class Matcher:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """``batch``: event_id, taxi_id, event_time, lat, lon, zone_id, status, is_request."""
         spark = batch.sparkSession
+        batch.persist()
         pings = batch.filter(~F.col("is_request")).withColumns({
             "day": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
         (pings.sortWithinPartitions("day", "event_time").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(self.log))
         requests = batch.filter("is_request").withColumnRenamed("event_id", "request_id")
         first, last = requests.agg(F.min("event_time"), F.max("event_time")).first()
-        if first is None:
-            return
+        if first is not None:
+            self._match(requests, spark.read.schema(pings.schema).parquet(self.log), first, last, batch_id)
+        batch.unpersist()
+
+    def _match(self, requests: DataFrame, log: DataFrame, first, last, batch_id: int) -> None:
         early = F.lit(first) - F.make_interval(secs=F.lit(self.fresh))
-        known = spark.read.schema(pings.schema).parquet(self.log).filter(
+        known = log.filter(
             F.col("day").between(F.to_date(early), F.to_date(F.lit(last)))
             & F.col("event_time").between(early, F.lit(last)))
         found = match.match_nearest(requests, known, self.fresh)

@@ -99,11 +99,14 @@ def test_lifecycle_over_several_batches(spark, tmp_path):
             "trip_id", "status", F.timestamp_seconds("s").alias("timestamp_utc"))
     parts = [updates(("t", "requested", T0), ("u", "requested", T0)), updates(("t", "accepted", T0 + 5)),
              updates(("t", "completed", T0 + 65), ("t", "in_progress", T0 + 15))]
-    sink = jobs.lifecycle_sink(str(tmp_path / "trips"), buckets=2)
-    io.drain(io.each_batch(as_batches(spark, tmp_path / "in", parts), sink, str(tmp_path / "cp")))
+    log = jobs.LifecycleLog(str(tmp_path / "trips"))
+    io.drain(io.each_batch(as_batches(spark, tmp_path / "in", parts), log.write, str(tmp_path / "cp")))
     everything = parts[0].unionByName(parts[1]).unionByName(parts[2])
     columns = ["trip_id", "status", *[f"{s}_at" for s in lifecycle.STAGES]]
-    assert rows(spark.read.parquet(str(tmp_path / "trips")), *columns) == rows(lifecycle.stage_times(everything), *columns)
+    want = rows(lifecycle.stage_times(everything), *columns)
+    assert rows(log.trips(spark), *columns) == want
+    log.compact(spark, str(tmp_path / "compact"))
+    assert rows(jobs.LifecycleLog(str(tmp_path / "compact")).trips(spark), *columns) == want
     done = lifecycle.trip_lifecycle(everything).filter("trip_id = 't'").first()
     assert (done.status, done.wait_sec, done.pickup_sec, done.ride_sec) == ("completed", 5, 10, 50)
 
@@ -136,3 +139,12 @@ def test_messages_carry_their_key(spark):
     df = spark.createDataFrame([(7, 1.5)], "taxi_id long, lat double")
     row = io.as_messages(df, F.col("taxi_id")).first()
     assert row.key == "7" and json.loads(row.value) == {"taxi_id": 7, "lat": 1.5}
+
+
+def test_counters_are_observed_on_the_stream(spark, tmp_path):
+    df = spark.createDataFrame([("moving",), ("blackout",), ("blackout_recovered",)], "status string")
+    stream = as_batches(spark, tmp_path / "in", [df]).observe("sent", *gps.counters())
+    running = io.to_files(stream, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
+    running.awaitTermination()
+    seen = [p.observedMetrics["sent"] for p in running.recentProgress if "sent" in p.observedMetrics]
+    assert [(r.sent, r.recovered_blackouts, r.blackout_pings) for r in seen] == [(3, 1, 1)]
