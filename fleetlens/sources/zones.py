@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens import schemas
 from fleetlens.functions import geo, text
+from fleetlens.session import spread_small
 
 CELL_DEG = 0.0025
 MAX_ZONES = 10_000  # the lookup keeps one list of all zone centres
@@ -94,7 +95,7 @@ def _reaching_edges(edges: Column, lo_lat: Column, hi_lat: Column, lo_lon: Colum
 
 def _polygon_cells(zones: DataFrame, size: float) -> DataFrame:
     """One row per (cell, polygon whose box touches it) with the edges that matter there."""
-    polygons = zones.select(
+    polygons = spread_small(zones).select(
         "seq", _attributes().alias("zone"), F.posexplode("polygons").alias("part", "rings")
     ).withColumns({
         "lons": F.transform(F.col("rings")[0], lambda p: p[0]),
@@ -167,7 +168,8 @@ def cell_index(zones: DataFrame, margin: float = K.BBOX_MARGIN_DEG, size: float
     cells = (
         box.withColumn("cell_lat", span("min_lat", "max_lat"))
         .withColumn("cell_lon", span("min_lon", "max_lon"))
-        .select("cell_lat", "cell_lon").withColumn("all", centroids))
+        .select("cell_lat", "cell_lon").repartition("cell_lat", "cell_lon")  # the join below needs it too
+        .withColumn("all", centroids))
     lat0, lon0 = F.col("cell_lat") * size - _PAD, F.col("cell_lon") * size - _PAD
     lat1, lon1 = lat0 + size + 2 * _PAD, lon0 + size + 2 * _PAD
 
