@@ -18,7 +18,12 @@ from fleetlens.sources.zones import zone_dimension
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     use_utc(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_small(df.select(*columns) if columns else df)
+    return df.select(*columns) if columns else df
+
+
+def spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose rows cost much work (building texts, parsing), on all slots even if it is small."""
+    return spread_small(table(spark, sf_dir, name, *columns))
 
 
 def _utc(c: Column) -> Column:
@@ -34,7 +39,7 @@ def _padded(value: Column, width: int) -> Column:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips from ``orders``: text columns, polylines of 0 to 8 points, some of them null."""
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     key, n = F.col("o_orderkey"), F.col("o_custkey") % 9
     dow = F.dayofweek("o_orderdate")
     point = lambda i: F.concat(
@@ -94,7 +99,7 @@ repeated_trips AS (
 
 def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with 0 to 12 points, made from the order key; consecutive points lie up to a few km apart."""
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    o = spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     key = F.col("o_orderkey")
     point = lambda i: F.array(
         F.lit(-7.75) + ((key * 31 + i * (key % 13 + 1) * 3) % 2600) / F.lit(10000.0),
@@ -113,7 +118,7 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The points of the same trips, one row each, as a GPS log holds them."""
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    o = spread(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     key, i, n = F.col("trip_id"), F.col("i"), F.col("o_custkey") % 13
     rows = o.filter(n > 0).select(
         F.col("o_orderkey").alias("trip_id"), F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias("i"))

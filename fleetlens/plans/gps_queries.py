@@ -14,7 +14,7 @@ from fleetlens.sources import serving, zones as zs
 
 
 def parsed(spark, sf_dir):
-    return gps.parse_gps(b.gps_messages(b.table(spark, sf_dir, "events")))
+    return gps.parse_gps(b.gps_messages(b.spread(spark, sf_dir, "events")))
 
 
 @query(f"""WITH {b.PARSED_SQL}

@@ -23,6 +23,7 @@ def build_session(app: str = "fleetlens", master: str | None = None, **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
