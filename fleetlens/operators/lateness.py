@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
-from fleetlens.operators.ordered import running
+from fleetlens.operators.ordered import Running, running
 
 ARRIVALS_PER_BLOCK = 1_000_000
 
@@ -32,7 +32,7 @@ def flag_late(
     ms = events.withColumn("__ms", F.unix_millis("event_time"))
     seen = running(
         ms, keys, [arrival], F.floor(F.col(arrival) / ARRIVALS_PER_BLOCK),
-        {"max_before_ms": ("max", F.col("__ms"))}, inclusive=False)
+        {"max_before_ms": Running("max", F.col("__ms"), inclusive=False)})
     if carried is not None:
         seen = seen.withColumn("max_before_ms", F.greatest("max_before_ms", carried))
     behind = late_by_ms(F.col("__ms"), F.col("max_before_ms"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
-from fleetlens.operators.ordered import running
+from fleetlens.operators.ordered import Running, running
 
 STAGES = ["requested", "accepted", "in_progress", "completed"]
 BLOCK_SECONDS = 600
@@ -51,12 +51,11 @@ def blackouts(events: DataFrame, alert_seconds: int = K.BLACKOUT_ALERT_SECONDS)
     dark = F.col("status") == "blackout"
     moment = F.struct("event_time", "event_id")
     stamped = events.select("taxi_id", "event_id", "event_time", "status").withColumn("__at", moment)
-    block = F.floor(F.unix_timestamp("event_time") / BLOCK_SECONDS)
-    order = ["event_time", "event_id"]
-    lit_at = F.when(~dark, F.col("__at"))
-    before = running(stamped, ["taxi_id"], order, block, {"ok_before": ("max", lit_at)})
+    seen_at = F.when(~dark, F.col("__at"))
     both = running(
-        before, ["taxi_id"], order, block, {"ok_after": ("min", lit_at)}, backwards=True)
+        stamped, ["taxi_id"], ["event_time", "event_id"],
+        F.floor(F.unix_timestamp("event_time") / BLOCK_SECONDS),
+        {"ok_before": Running("max", seen_at), "ok_after": Running("min", seen_at, backwards=True)})
     islands = both.filter(dark).groupBy("taxi_id", "ok_before", "ok_after").agg(
         F.min("event_time").alias("started_at"), F.max("event_time").alias("last_seen_at"),
         F.count(F.lit(1)).alias("pings"))

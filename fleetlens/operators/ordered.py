@@ -8,6 +8,7 @@ one-row-per-block summary (running values) or from copies of the few rows next t
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,48 +20,39 @@ _COMBINE = {
 }
 
 
+class Running(NamedTuple):
+    """A running ``max``, ``min`` or ``sum`` of a value, from the first row on or ``backwards`` from the last."""
+
+    kind: str
+    value: Column
+    backwards: bool = False
+    inclusive: bool = True
+
+
 def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    block: Column,
-    values: dict[str, tuple[str, Column]],
-    *,
-    backwards: bool = False,
-    inclusive: bool = True,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, values: dict[str, Running],
 ) -> DataFrame:
-    """Add running max/min/sum columns ``{name: (kind, value)}`` along ``order`` within ``keys``.
+    """Add running columns along ``order`` within ``keys``; all of them share one shuffle of the rows.
 
-    ``block`` must not decrease along ``order``. ``backwards`` runs from the last row to the first.
+    ``block`` must not decrease along ``order``.
     """
-    inputs = {f"__v_{name}": value for name, (_, value) in values.items()}
-    rows = df.withColumns({"__block": block, **inputs})
     by_block = [*keys, "__block"]
+    rows = df.withColumns({"__block": block, **{f"__v_{n}": r.value for n, r in values.items()}})
 
-    def direction(names):
-        return [F.col(n).desc() if backwards else F.col(n).asc() for n in names]
+    def window(partition: list[str], along: Sequence[str], r: Running, end: int) -> Window:
+        sort = [F.col(c).desc() if r.backwards else F.col(c).asc() for c in along]
+        return Window.partitionBy(*partition).orderBy(*sort).rowsBetween(Window.unboundedPreceding, end)
 
     sums = rows.groupBy(*by_block).agg(
-        *[_COMBINE[kind][0](f"__v_{name}").alias(f"__s_{name}") for name, (kind, _) in values.items()])
-    before = (
-        Window.partitionBy(*keys).orderBy(*direction(["__block"]))
-        .rowsBetween(Window.unboundedPreceding, -1))
-    carry = sums.select(
-        *by_block,
-        *[_COMBINE[kind][0](f"__s_{name}").over(before).alias(f"__c_{name}")
-          for name, (kind, _) in values.items()])
-
-    upto = (
-        Window.partitionBy(*by_block).orderBy(*direction(order))
-        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
+        *[_COMBINE[r.kind][0](f"__v_{n}").alias(f"__s_{n}") for n, r in values.items()])
+    carry = sums.select(*by_block, *[
+        _COMBINE[r.kind][0](f"__s_{n}").over(window(list(keys), ["__block"], r, -1)).alias(f"__c_{n}")
+        for n, r in values.items()])
     inside = rows.withColumns({
-        f"__w_{name}": _COMBINE[kind][0](f"__v_{name}").over(upto)
-        for name, (kind, _) in values.items()})
-    joined = inside.join(carry, by_block, "left")
-    result = {
-        name: _COMBINE[kind][1](F.col(f"__w_{name}"), F.col(f"__c_{name}"))
-        for name, (kind, _) in values.items()}
-    return joined.withColumns(result).select(*df.columns, *values)
+        f"__w_{n}": _COMBINE[r.kind][0](f"__v_{n}").over(window(by_block, order, r, 0 if r.inclusive else -1))
+        for n, r in values.items()})
+    result = {n: _COMBINE[r.kind][1](F.col(f"__w_{n}"), F.col(f"__c_{n}")) for n, r in values.items()}
+    return inside.join(carry, by_block, "left").withColumns(result).select(*df.columns, *values)
 
 
 def with_halo(df: DataFrame, position: Column, size: int, before: int = 0, after: int = 0) -> DataFrame:

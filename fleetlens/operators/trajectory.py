@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions import geo, trips as tf
-from fleetlens.operators.ordered import drop_halo, running, with_halo
+from fleetlens.operators.ordered import Running, drop_halo, running, with_halo
 
 POINTS_PER_BLOCK = 4096
 
@@ -113,7 +113,7 @@ def segments(points: DataFrame, max_step_km: float = 5.0) -> DataFrame:
     return running(
         rows.withColumn("__break", breaks).drop("prev_lat", "prev_lon"),
         ["trip_id"], ["point_index"], F.floor(F.col("point_index") / POINTS_PER_BLOCK),
-        {"segment": ("sum", F.col("__break"))}).drop("__break")
+        {"segment": Running("sum", F.col("__break"))}).drop("__break")
 
 
 def smooth(points: DataFrame, k: int = 1) -> DataFrame:

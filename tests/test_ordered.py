@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from fleetlens.operators import trajectory as t
-from fleetlens.operators.ordered import drop_halo, running, with_halo
+from fleetlens.operators.ordered import Running, drop_halo, running, with_halo
 
 
 def skewed(spark, n=600):
@@ -21,8 +21,8 @@ def test_running_equals_a_plain_window(spark):
         for inclusive in (True, False):
             got = running(
                 df, ["k"], ["pos"], F.floor(F.col("pos") / 17),
-                {"hi": ("max", F.col("v")), "lo": ("min", F.col("v")), "total": ("sum", F.col("v"))},
-                backwards=backwards, inclusive=inclusive)
+                {name: Running(kind, F.col("v"), backwards, inclusive)
+                 for name, kind in (("hi", "max"), ("lo", "min"), ("total", "sum"))})
             order = F.col("pos").desc() if backwards else F.col("pos")
             w = Window.partitionBy("k").orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
             want = df.select("k", "pos", "v", F.max("v").over(w), F.min("v").over(w),
@@ -32,7 +32,7 @@ def test_running_equals_a_plain_window(spark):
 
 def test_running_without_keys(spark):
     df = skewed(spark)
-    got = running(df, [], ["pos"], F.floor(F.col("pos") / 50), {"hi": ("max", F.col("v"))}, inclusive=False)
+    got = running(df, [], ["pos"], F.floor(F.col("pos") / 50), {"hi": Running("max", F.col("v"), inclusive=False)})
     w = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     assert rows(got, "pos", "hi") == rows(df.select("pos", F.max("v").over(w)))
 
