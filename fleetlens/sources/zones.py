@@ -15,7 +15,7 @@ from fleetlens import schemas
 from fleetlens.functions import geo, text
 from fleetlens.session import spread_small
 
-CELL_DEG = 0.005
+CELL_DEG = 0.0025
 MAX_ZONES = 10_000  # the lookup keeps one list of all zone centres
 _PAD = 1e-9  # cell borders are computed with rounding; edges this close belong to both sides
 
