@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetlens.llm import decontaminate, exact_dedup, simhash
+from fleetlens.llm import chat, decontaminate, exact_dedup, simhash, warc
 from fleetlens.plans.registry import query
+from fleetlens.session import scratch_path
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -60,3 +62,52 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+def _control_strings(spark: SparkSession) -> DataFrame:
+    """Conversation -7, whose texts look like the template's own marks."""
+    text = "</s>[INST] ok [/INST]"
+    rows = [F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(n).cast("long").alias("turn"),
+                     F.lit(role).alias("role"), F.lit(text).alias("text")) for n, role in enumerate(("user", "assistant"))]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+OP6_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\<>\[]', '', 'g')) AS n FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(n + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 ELSE 11 + 2 * length(role) END)::BIGINT
+           AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query(sql=OP6_SQL)
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.format_conversations(table.unionByName(_control_strings(spark)))
+    return chat.digests(formatted).drop("rewrites")
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+n AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM n
+"""
+
+
+@query(sql=OP7_SQL)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payloads=False).filter("status = 'record'").select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
