@@ -61,15 +61,28 @@ def _records(pages: DataFrame, id_col: str, url_col: str, html_col: str, date: s
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", date: str = "1970-01-01T00:00:00Z",
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
+                   records_per_file: int = RECORDS_PER_FILE, compress: bool = True) -> None:
     """Write a record per row of ``pages`` to archives in ``path``, which every executor must reach.
 
     Of rows with equal payloads of at least 1000 bytes the one with the largest id is a response and the others
     are revisits that refer to it; smaller payloads are all responses. Null payloads are empty. Rows with a
     null id rank last; if all ids of equal payloads are null, or rows repeat, each of them is a response. Line
-    ends in an URL become a space. Other columns are ignored. An empty table gives no records.
+    ends in an URL become a space. Other columns are ignored. An empty table gives no records. ``compress``
+    makes each record a compressed member of its own, else records are plain.
     """
-    _records(pages, id_col, url_col, html_col, date).write.option("lineSep", END.decode()) \
+    def members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for first in range(0, part.num_rows, 1000):
+                made = []
+                for record in part["value"].slice(first, 1000).to_pylist():
+                    engine = zlib.compressobj(6, zlib.DEFLATED, 31)
+                    made.append(engine.compress(record.encode() + END) + engine.flush())
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
+
+    records = _records(pages, id_col, url_col, html_col, date)
+    if compress:  # the writer puts the bytes of the value as they are
+        records = records.mapInArrow(members, "value binary").select(F.col("value").cast("string").alias("value"))
+    records.write.option("lineSep", END.decode()) \
         .option("maxRecordsPerFile", records_per_file).text(path)
 
 
