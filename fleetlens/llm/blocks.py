@@ -106,13 +106,13 @@ def ask_rows(block: int, shard: np.ndarray, arrays: list[np.ndarray]) -> tuple[p
                                        pa.array(data, pa.binary())], schema=ASK), order
 
 
-def answered(asks: DataFrame, answer: Callable[[list[list[np.ndarray]]], list[list[np.ndarray]]]) -> DataFrame:
-    """block, shard, data: for each shard, ``answer`` gets what every block has asked and answers each."""
+def answered(asks: DataFrame, answer: Callable[[list[list[np.ndarray]], int], list[list[np.ndarray]]]) -> DataFrame:
+    """block, shard, data: ``answer`` gets what every block has asked a shard, and answers each."""
     def of_shard(table: pa.Table) -> pa.Table:
         if not table.num_rows:
             return ANSWER.empty_table()
         told = [unpacked(x) for x in table["data"].to_pylist()]
-        data = [packed(x) for x in answer(told)]
+        data = [packed(x) for x in answer(told, table["shard"][0].as_py())]
         return pa.table([table["block"], table["shard"], pa.array(data, pa.binary())], schema=ANSWER)
 
     return asks.groupBy("shard").applyInArrow(of_shard, ANSWER_DDL)

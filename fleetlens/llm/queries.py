@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, exact_dedup, simhash, substring_dedup, warc
+from fleetlens.llm import chat, decontaminate, exact_dedup, lm_scoring, quality, sentencepiece, simhash, substring_dedup, toxicity, warc
 from fleetlens.plans.registry import query
 from fleetlens.session import scratch_path
 
+#: Vocabulary file of a public tokenizer.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -131,3 +133,35 @@ FROM d LEFT JOIN kept USING (doc_id)
 @query(sql=OP9_SQL)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("factors")
+
+
+def _remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo ``divisor``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(_table(spark, sf_dir, "documents"), PIECES)
+
+
+@query()
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs))
+
+
+@query()
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(_remainder(5) == 1, F.lit(False))
+    scored = lm_scoring.score_documents(_table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")

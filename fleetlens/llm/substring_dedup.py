@@ -93,7 +93,7 @@ class _Block:
         return a[new], b[new], ids[order][new], which
 
 
-def _shared(told: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
+def _shared(told: list[list[np.ndarray]], shard: int) -> list[list[np.ndarray]]:
     """Whether each group stands in more than one document."""
     group, low, high = (np.concatenate([t[k] for t in told]).astype(d) for k, d in enumerate((np.uint64, np.int64, np.int64)))
     found, which = np.unique(group, return_inverse=True)
@@ -104,7 +104,7 @@ def _shared(told: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
     return [[x] for x in np.split(flags, np.cumsum([len(t[0]) for t in told])[:-1])]
 
 
-def _least_ids(told: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
+def _least_ids(told: list[list[np.ndarray]], shard: int) -> list[list[np.ndarray]]:
     """The least document id of each window, told apart by both hashes."""
     one, two, ids = (np.concatenate([t[k] for t in told]).astype(d) for k, d in enumerate((np.uint64, np.uint64, np.int64)))
     order = np.lexsort((ids, two, one))
