@@ -23,8 +23,10 @@ from fleetlens.session import materialize
 
 #: Identifier of the end of a text, which also stands before its first word.
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
-#: Weight of the shorter context's distribution, in observations.
-BACKOFF = 60.0
+#: Largest weight of the distribution without context.
+MOST_BACKOFF = 0.95
+#: Contexts are classed by the binary logarithm of their count.
+CLASSES = 64
 #: Quantised probabilities: steps of the logarithm; 0 means that the n-gram was not seen.
 STEP = 0.002
 #: Words after which a block ends.
@@ -207,15 +209,35 @@ def _pair_shards(context: np.ndarray, word: np.ndarray, seen: np.ndarray, total:
     return B.spread(np.where(hot, mixed ^ (word * np.uint64(0x9E3779B97F4A7C15)), mixed), shards)
 
 
-def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
-                    backoff: float = BACKOFF) -> DataFrame:
+def _summary(answers: DataFrame, place: int, size: int) -> list[int]:
+    """Sums of the figures that each shard has added, as array ``place``, to one of its answers."""
+    def figures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            rows = [t[place].tolist() for t in map(B.unpacked, part["data"].to_pylist()) if len(t) > place]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(size), len(rows))),
+                                                  pa.array(np.concatenate(rows).astype(np.int64))], ["figure", "value"])
+
+    out = [0] * size
+    for row in answers.select("data").mapInArrow(figures, "figure long, value long").groupBy("figure") \
+            .agg(F.sum("value").alias("value")).collect():
+        out[row["figure"]] = row["value"]
+    return out
+
+
+def _class(seen: np.ndarray) -> np.ndarray:
+    """The class of contexts of these counts (at least 1)."""
+    return np.floor(np.log2(np.maximum(seen, 1))).astype(np.int64)
+
+
+def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, learn, n_tokens, n_known, train_tokens, base_score, score for each row of ``docs``.
 
     A model of pairs of words is learnt from the rows for which ``learn`` holds and scores all rows. Words are
     runs of other than ASCII white space after lower-casing A-Z; each text ends with an end token, so null and
     empty texts have one token. ``score`` is the base ten logarithm of the text's probability: a pair's share
-    among the successors of its context, smoothed by the share of the word, smoothed by a discount that goes to
-    words not seen. ``base_score`` is the sum over tokens of log10((c + 0.5) / (N + 0.5 (V + 1))). A null
+    among the successors of its context, interpolated with the share of the word, whose discount goes to words
+    not seen. The weight of the latter is the part of singular pairs among contexts of like count. ``base_score`` is the sum over tokens of log10((c + 0.5) / (N + 0.5 (V + 1))). A null
     ``learn`` counts as false. Without rows to learn from, N and V are 0 and every token has probability 1.
     Repeated rows and rows with null ids count and come back like others; other columns are ignored. Words
     are told apart by a 64-bit hash.
@@ -236,19 +258,13 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         number = np.arange(len(found), dtype=np.uint64) * np.uint64(shards) + np.uint64(shard)
         cuts = np.cumsum([len(t[0]) for t in told])[:-1]
         answers = [list(x) for x in zip(np.split(count[which], cuts), np.split(number[which], cuts), strict=True)]
-        answers[0] += [np.array([count.sum(), (count > 0).sum(), (count == 1).sum(), (count == 2).sum()], np.uint64)]
+        answers[0].append(np.array([count.sum(), (count > 0).sum(), (count == 1).sum(), (count == 2).sum()], np.uint64))
         return answers
 
     asked = blocks.select("block", "words").mapInArrow(ask_words, B.ASK_DDL)
     known = materialize(B.answered(asked, number_words), "word-numbers")
 
-    def sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            rows = [t[2].tolist() for t in map(B.unpacked, part["data"].to_pylist()) if len(t) > 2]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], ["n", "v", "n1", "n2"])
-
-    total, distinct, once, twice = (x or 0 for x in known.select("data").mapInArrow(
-        sums, "n long, v long, n1 long, n2 long").agg(*[F.sum(c) for c in ("n", "v", "n1", "n2")]).first())
+    total, distinct, once, twice = _summary(known, 2, 4)
     discount = once / (once + 2 * twice) if once and twice else 0.5
 
     def token_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, _Tokens]]:
@@ -271,12 +287,15 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         c, w = context[order], word[order]
         first = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])) if len(c) else np.empty(0, np.int64)
         times = np.add.reduceat(taught[order], first) if len(first) else np.empty(0, np.uint64)
-        share = times / (seen[order][first] + backoff)
+        often = seen[order][first]
         with tempfile.TemporaryFile() as file:  # gone when the task lets go of it
-            file.write(build_trie(c[first], w[first], quantised(share)))
+            file.write(build_trie(c[first], w[first], quantised(times / np.maximum(often, 1))))
             file.flush()
             codes = Trie(np.memmap(file, np.uint8, "r")).look_up(context, word)
-        return [[x] for x in np.split(codes, np.cumsum([len(t[0]) for t in told])[:-1])]
+        answers = [[x] for x in np.split(codes, np.cumsum([len(t[0]) for t in told])[:-1])]
+        singular = np.bincount(_class(often)[times == 1], minlength=CLASSES)
+        answers[0].append(np.concatenate([singular, np.bincount(_class(often), times, CLASSES)]).astype(np.uint64))
+        return answers
 
     def scores(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, tokens in token_rows(parts):
@@ -289,10 +308,10 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             new = discount * distinct / total if total else 1.0
             single = np.where(count > 0, (count - discount) / max(total, 1), new)
             times = tokens.count[tokens.before]
-            weight = np.where(times > 0, backoff / (times + backoff), 1.0)
+            weight = np.where(times > 0, backoff[_class(times)], 1.0)
             found = np.zeros(len(count))
             found[at] = share[which]
-            model = np.log10(found + weight * single)
+            model = np.log10((1 - weight) * found + weight * single)
             n = len(tokens.sizes)
             sums = [np.bincount(tokens.document, x, n) for x in (count > 0, base, model)]
             yield pa.RecordBatch.from_arrays([
@@ -302,7 +321,9 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                 ["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     with_known = blocks.drop("n_words").join(B.gathered(known, "known"), "block")
-    pairs = B.answered(with_known.mapInArrow(ask_pairs, B.ASK_DDL), pair_codes)
+    pairs = materialize(B.answered(with_known.mapInArrow(ask_pairs, B.ASK_DDL), pair_codes), "pair-codes")
+    figures = np.array(_summary(pairs, 1, 2 * CLASSES), float)
+    backoff = np.minimum((figures[:CLASSES] + 1) / (figures[CLASSES:] + 1), MOST_BACKOFF)
     return with_known.join(B.gathered(pairs, "codes_of_pairs"), "block", "left").mapInArrow(
         scores, "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")
