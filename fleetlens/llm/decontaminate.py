@@ -79,7 +79,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_key.
 
     A document word inside any occurrence of a benchmark window is hit; a document is contaminated if at least
     a twentieth of its words are. Null and empty texts have no words and are clean. Rows are told apart by id
@@ -145,4 +145,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("text_key") == F.col("f_key")), "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
-        ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
+        ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"), "text_key")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    judged = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    out = _small(materialize(judged.filter("contaminated").select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "contaminated"), 32)
+    return docs.join(out, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+                     & (F.xxhash64(F.col(text_col).cast("string")) == F.col("__key")), "left_anti")

@@ -66,3 +66,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return recipes.join(groups, "recipe", "left").select(
         "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text one stays."""
+    def key(doc_id: Column, sha256: Column) -> Column:
+        return F.concat_ws("-", doc_id.cast("long").cast("string"), sha256)
+
+    kept = exact_groups(docs, id_col, text_col).filter("kept") \
+        .select(key(F.col("doc_id"), F.col("text_sha256")).alias("__key"))
+    keyed = docs.withColumn("__key", key(F.col(id_col), F.sha2(lower_ascii(F.col(text_col).cast("string")), 256)))
+    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

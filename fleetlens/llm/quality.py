@@ -132,3 +132,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     return features.scored(picked(docs, id_col, text_col), model.weight, model.bias) \
         .withColumn("keep", F.col("score") >= 0.5)
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the scorer keeps, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.bias))
+    at = docs.columns.index(text_col)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets, (weight, bias) = features.Buckets(), shared.value
+        for part in parts:
+            good = [features.score(buckets(x), weight, bias) >= 0.5 for x in features.code_points(part.column(at))]
+            yield part.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(batches, docs.schema)

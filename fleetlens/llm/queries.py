@@ -58,7 +58,8 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 @query(sql=OP8_SQL)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")) \
+        .drop("text_key")
 
 
 @query()

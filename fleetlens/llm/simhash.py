@@ -168,3 +168,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of_print = rooted.join(named, "root").select("print", "component_id")
     return printed.join(of_print, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             distance: int = DISTANCE) -> DataFrame:
+    """Of each group the row with the least id, with all its columns.
+
+    One row of those that repeat this id stays. Rows with a null id all stay, as they cannot be told apart.
+    """
+    groups = simhash_groups(docs, id_col, text_col, shingle, distance)
+    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+    of_id = F.col(id_col).cast("long")
+    named = docs.filter(of_id.isNotNull()).withColumn("__row", of_id) \
+        .join(kept, F.col("__row") == F.col("__id"), "left_semi").dropDuplicates(["__row"]).drop("__row")
+    return named.unionAll(docs.filter(of_id.isNull()))
