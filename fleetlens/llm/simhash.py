@@ -2,8 +2,9 @@
 
 Two fingerprints that differ in 3 bits differ in at least one bit of one of four 16-bit groups, and then in at
 most two of the other 48 bits. With that group masked out, both reach a common variant by flipping at most one
-bit each: half the radius that is left. So every distinct fingerprint emits 4 x 49 variants; those that meet
-in a variant are compared. A variant has at most 49 x 65,536 fingerprints, whatever the input.
+bit each: half the radius that is left (or they differ within the group alone, and meet as they are). So
+every distinct fingerprint emits 4 x 49 variants; those that meet in a variant are compared. A variant has at
+most 49 x 65,536 fingerprints, whatever the input.
 """
 
 from __future__ import annotations
@@ -83,37 +84,55 @@ def _variants(prints: DataFrame) -> DataFrame:
     return prints.select("print", F.explode(F.concat(*rows)).alias("v")).select("v.mask", "v.variant", "print")
 
 
+#: Ways to change none, one or two bits of a group's value.
+ONE_OFF = np.concatenate([[0], 1 << np.arange(GROUP_BITS)]).astype(np.uint64)
+TWO_OFF = np.array([1 << a | 1 << b for a in range(GROUP_BITS) for b in range(a)], np.uint64)
+
+
+def _star(meeting: np.ndarray, value: np.ndarray, member: np.ndarray, near: np.ndarray,
+          far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links within each meeting and group value at which members stand after the changes ``near`` and ``far``.
+
+    The least of those that came by a near change is linked with all others there; a place without such has none.
+    """
+    flips = np.concatenate([near, far])
+    place = (meeting.astype(np.uint64)[:, None] << np.uint64(GROUP_BITS)) | (value[:, None] ^ flips)
+    place, off = place.ravel(), np.tile(np.arange(len(flips)) >= len(near), len(member))
+    member = np.repeat(member, len(flips))
+    order = np.lexsort((member, off, place))
+    place, off, member = place[order], off[order], member[order]
+    lead = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    n = np.diff(np.concatenate([lead, [len(place)]]))
+    centre = np.repeat(member[lead], n)
+    linked = ~np.repeat(off[lead], n) & (member != centre)
+    return centre[linked], member[linked]
+
+
 def _stars(mask: np.ndarray, variant: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among the prints that meet in each variant; rows come sorted by mask and variant.
 
-    Two meeting prints differ in two kept bits at most; they link if their masked groups are near too. In a
-    pair that is compared directly. In a larger meeting each member also stands at every group value that is
-    one bit off its own. At each value the members that have it form a star with all that stand there: they
-    link with each other, and with those one bit off. So a meeting costs 17 rows a member, however large.
+    Two meeting prints differ in two kept bits at most; they link if their masked groups are near too. A pair is
+    compared directly. In a larger meeting, members that are one masked bit apart both stand at a value that one
+    of them has; those with the same kept bits, which may be three masked bits apart, both stand at a value one
+    bit off the one and two off the other. All at a value link with the least of them, so a meeting costs a
+    fixed number of rows per member, however large it is.
     """
     new = np.concatenate([[True], (mask[1:] != mask[:-1]) | (variant[1:] != variant[:-1])])
     start = np.flatnonzero(new)
     size = np.diff(np.concatenate([start, [len(prints)]]))
     two = start[size == 2]
-    a, b = [prints[two]], [prints[two + 1]]
+    found = [(prints[two], prints[two + 1])]
     crowd = np.repeat(size > 2, size)
     if crowd.any():
-        meeting = np.repeat(np.arange(len(start)), size)[crowd]
-        own, member = mask[crowd].astype(np.uint64) * np.uint64(GROUP_BITS), prints[crowd]
-        value = (member.view(np.uint64) >> own) & np.uint64(0xFFFF)
-        flips = np.concatenate([[0], 1 << np.arange(GROUP_BITS)]).astype(np.uint64)
-        place = (meeting.astype(np.uint64)[:, None] << np.uint64(GROUP_BITS)) | (value[:, None] ^ flips)
-        place, off = place.ravel(), np.tile(flips != 0, len(member))
-        member = np.repeat(member, len(flips))
-        order = np.lexsort((member, off, place))  # members of the value itself first, the least of them leading
-        place, off, member = place[order], off[order], member[order]
-        lead = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        n = np.diff(np.concatenate([lead, [len(place)]]))
-        centre = np.repeat(member[lead], n)
-        linked = ~np.repeat(off[lead], n) & (member != centre)
-        a.append(centre[linked])
-        b.append(member[linked])
-    a, b = np.concatenate(a), np.concatenate(b)
+        meeting, member = np.repeat(np.arange(len(start)), size)[crowd], prints[crowd]
+        own, bits = mask[crowd].astype(np.uint64) * np.uint64(GROUP_BITS), member.view(np.uint64)
+        value = (bits >> own) & np.uint64((1 << GROUP_BITS) - 1)
+        found.append(_star(meeting, value, member, ONE_OFF[:1], ONE_OFF[1:]))
+        same = (bits ^ (value << own)) == variant[crowd].view(np.uint64)
+        same &= np.bincount(meeting, same, len(start))[meeting] > 1
+        if same.any():
+            found.append(_star(meeting[same], value[same], member[same], ONE_OFF, TWO_OFF))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
     near = np.bitwise_count((a ^ b).view(np.uint64)) <= distance
     pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[near], axis=0)
     return pairs[:, 0], pairs[:, 1]
