@@ -99,7 +99,7 @@ def ask_rows(block: int, shard: np.ndarray, arrays: list[np.ndarray]) -> tuple[p
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.empty(0, np.int64)
-    ends = np.append(first[1:], len(shard))
+    ends = np.append(first, len(shard))[1:]
     arrays = [x[order] for x in arrays]
     data = [packed([x[a:b] for x in arrays]) for a, b in zip(first, ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(shard[first], pa.int32()), pa.array([block] * len(first), pa.int64()),

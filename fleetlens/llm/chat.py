@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 Template = Callable[[list[tuple[str, str]]], str]
 #: Turns of a conversation that are rendered together, and turns before them that are rendered as context.
 BLOCK, CONTEXT = 256, 4
-#: A character that stands for a text; from the private use area.
-PROBE = "\ue000"
+#: Stands for a text; plain letters, which templates do not change.
+PROBE = "zqProbeTextqz"
 
 CONTROL, ESCAPED = re.compile(r"([\\<>\[])"), re.compile(r"([\\<>\[])\\")
 
@@ -77,6 +77,8 @@ def spans(template: Template, context: list[tuple[str, str]], turns: list[tuple[
             rewrites = n if rewrites is None else rewrites
         elif role == learnt and rewrites is None:
             head = template([*so_far, (role, PROBE)]).find(PROBE, len(before))
+            if head < 0:
+                raise ValueError(f"the template does not show the text of role {role!r}")
             tail = len(template([*so_far, (role, "")])) - head
             marked.append((head - len(base), len(after) - tail - len(base)))
         before = after

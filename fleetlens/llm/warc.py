@@ -106,7 +106,11 @@ def _parse(data: bytes | memoryview, at: int, last: bool) -> tuple[dict, bytes,
     digest = fields.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest[5:].lower() != hashlib.sha1(block).hexdigest():
         return "block digest differs"
-    return fields, block, min(end + len(END), len(data))
+    end = min(end + len(END), len(data))
+    inner = head.find(VERSION, 1, stop)  # the header of a record that was cut off may run into the next one
+    if inner > 0 and not isinstance(_parse(data, at + inner, last), str):
+        return "another record begins in the header"
+    return fields, block, end
 
 
 def _member(data: memoryview, at: int) -> tuple[bytes, int] | str:
