@@ -24,7 +24,8 @@ def one_row_per_trip(raw: DataFrame, key: str = "TRIP_ID", order=("TIMESTAMP", "
     ``row_number = 1`` lets Spark keep one row per id before the shuffle, so an id with very many
     copies does not fill one task.
     """
-    ranked = Window.partitionBy(key).orderBy(*order)
+    # The first column is an epoch as text; as text 999999999 would come after 1000000000.
+    ranked = Window.partitionBy(key).orderBy(F.col(order[0]).try_cast("bigint"), *order)
     return raw.withColumn("__n", F.row_number().over(ranked)).filter("__n = 1").drop("__n")
 
 

@@ -10,20 +10,22 @@ from fleetlens.functions.timing import slot_index, slot_text
 
 
 def demand_supply(
-    positions: DataFrame, requests: DataFrame, window: str = K.DEMAND_WINDOW,
+    positions: DataFrame, requests: DataFrame, window: str = K.DEMAND_WINDOW, watermark: str | None = None,
 ) -> DataFrame:
     """Per (zone, tumbling window): distinct active vehicles, pending requests and their ratio.
 
     ``positions``: zone_id, event_time, taxi_id. ``requests``: zone_id, event_time, status. Both sides
     become one table first; a first grouping per taxi removes repeated pings before the zone totals, so
-    a busy zone never meets in one task as raw rows.
+    a busy zone never meets in one task as raw rows. Streams may come without watermarks and get one here, after
+    the union, so that a silent side holds nothing back.
     """
     seen = positions.select("zone_id", "event_time", "taxi_id", F.lit(0).alias("pending"))
     asked = requests.select(
         "zone_id", "event_time", F.lit(None).cast(positions.schema["taxi_id"].dataType).alias("taxi_id"),
         (F.col("status") == "requested").cast("int").alias("pending"))
+    both = seen.unionByName(asked)
     per_taxi = (
-        seen.unionByName(asked)
+        (both.withWatermark("event_time", watermark) if watermark else both)
         .groupBy("zone_id", F.window("event_time", window).alias("w"), "taxi_id")
         .agg(F.sum("pending").alias("pending")))
     totals = per_taxi.groupBy("zone_id", "w").agg(
@@ -39,17 +41,22 @@ def ratio():
 
 def demand_spikes(
     requests: DataFrame, window_seconds: int = 300, history: int = 24, factor: float = K.SPIKE_FACTOR,
+    least: int = 2,
 ) -> DataFrame:
-    """Windows whose request count reaches ``factor`` times the mean of the windows before.
+    """Windows with at least ``least`` requests and ``factor`` times the mean of the windows before.
 
-    Windows without requests count as 0 in the mean. The series is aggregated before it is ordered.
+    The mean is over the ``history`` windows before, as far as the zone's series reaches back; windows without
+    requests count as 0 in it. The series is aggregated before it is ordered.
     """
     counts = requests.groupBy(
         "zone_id", slot_index(F.unix_timestamp("event_time"), window_seconds).alias("slot")
     ).agg(F.count(F.lit(1)).alias("requests"))
     before = Window.partitionBy("zone_id").orderBy("slot").rangeBetween(-history, -1)
-    rated = counts.withColumn("usual", F.coalesce(F.sum("requests").over(before), F.lit(0)) / history)
-    return rated.filter((F.col("usual") > 0) & (F.col("requests") >= factor * F.col("usual"))).select(
+    first = F.min("slot").over(Window.partitionBy("zone_id"))
+    windows = F.least(F.lit(history), F.col("slot") - first)
+    rated = counts.withColumn("usual", F.try_divide(F.coalesce(F.sum("requests").over(before), F.lit(0)), windows))
+    enough = (F.col("requests") >= factor * F.col("usual")) & (F.col("requests") >= least)
+    return rated.filter((F.col("usual") > 0) & enough).select(
         "zone_id", F.timestamp_seconds(F.col("slot") * window_seconds).alias("window_start"),
         "requests", "usual")
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
@@ -12,19 +14,27 @@ from fleetlens.operators.features import naive_forecast, rmse
 from fleetlens.session import materialize
 
 
+def _complete(columns: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
 def assemble(features: DataFrame, columns: list[str] = K.FEATURE_COLUMNS) -> DataFrame:
-    return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(features)
+    """Add the feature vector. Rows with a missing feature must have been filtered or filled."""
+    return VectorAssembler(inputCols=columns, outputCol="features").transform(features)
 
 
 def train(split: DataFrame, columns: list[str] = K.FEATURE_COLUMNS, **params) -> GBTRegressionModel:
     """Fit on the training months. The few numbers needed are written once, since boosting reads them often."""
-    rows = assemble(split.filter("is_train"), columns).select("zone_id", "features", "target")
+    rows = assemble(split.filter("is_train").filter(_complete(columns)), columns).select("zone_id", "features", "target")
     learner = GBTRegressor(featuresCol="features", labelCol="target", **{**K.GBT_PARAMS, **params})
     return learner.fit(materialize(rows, "train"))
 
 
 def predict(model: GBTRegressionModel, features: DataFrame, columns: list[str] = K.FEATURE_COLUMNS) -> DataFrame:
-    return model.transform(assemble(features, columns)).drop("features")
+    """Add ``prediction``, null for rows whose features are not complete; no row is left out."""
+    filled = features.withColumns({f"__{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
+    scored = model.transform(assemble(filled, [f"__{c}" for c in columns])).drop("features", *[f"__{c}" for c in columns])
+    return scored.withColumn("prediction", F.when(_complete(columns), F.col("prediction")))
 
 
 def importances(model: GBTRegressionModel, spark: SparkSession, columns: list[str] = K.FEATURE_COLUMNS) -> DataFrame:

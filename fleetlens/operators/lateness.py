@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens import constants as K
@@ -45,5 +45,7 @@ def flag_late(
 
 
 def one_row_per_event(events: DataFrame, key: str = "event_id") -> DataFrame:
-    """Drop repeated events by id."""
-    return events.dropDuplicates([key])
+    """Of the rows with an id the first by the other columns, so that results repeat."""
+    others = [c for c in events.columns if c != key]
+    ranked = Window.partitionBy(key).orderBy(*(others or [key]))
+    return events.withColumn("__n", F.row_number().over(ranked)).filter("__n = 1").drop("__n")

@@ -10,6 +10,7 @@ found nothing close by go on to the wider search, so dense places are never sear
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -124,23 +125,25 @@ def _close_by(asked: DataFrame, periods: DataFrame, usable, size: float) -> Data
 
 
 def match_exclusive(
-    requests: DataFrame, positions: DataFrame, rounds: int = 3, window_seconds: int = 30,
-    fresh: int = FRESH_SECONDS,
+    requests: DataFrame, positions: DataFrame, window_seconds: int = 30, fresh: int = FRESH_SECONDS,
 ) -> DataFrame:
     """Matches in which a taxi serves at most one request per dispatch window.
 
     Every round each open request proposes its best free taxi and each taxi keeps its nearest request,
-    ties to the lowest request id. Requests still open after the last round stay unmatched.
+    ties to the lowest request id. It ends when no open request has a free taxi. A round settles every taxi
+    that was proposed, so the rounds are as many as the taxis that compete for one place and window at most.
     """
     periods = materialize(_by_bucket(valid_periods(positions, fresh), fresh), "periods")
     dispatch = F.floor(F.unix_timestamp("event_time") / window_seconds)
     open_requests = materialize(
         _requests(requests.withColumn("dispatch", dispatch), fresh, "dispatch"), "open")
     kept: DataFrame | None = None
-    for number in range(1, rounds + 1):
+    for number in itertools.count(1):
         taken = None if kept is None else kept.select("dispatch", "taxi_id")
         offers = materialize(_nearest(open_requests, periods, taken).join(
             open_requests.select("request_id", "dispatch"), "request_id"), "offers")
+        if kept is not None and offers.isEmpty():
+            return kept.withColumn("eta_min", tf.estimated_minutes(F.col("distance_km")))
         winners = offers.groupBy("dispatch", "taxi_id").agg(
             F.min(F.struct("distance_km", "request_id", "ring", "taxi_zone")).alias("w")).select(
             "w.request_id", "dispatch", "taxi_id", "w.taxi_zone", "w.ring", "w.distance_km",
@@ -150,4 +153,3 @@ def match_exclusive(
         offered = open_requests.join(offers.select("request_id"), "request_id", "left_semi")
         open_requests = materialize(
             offered.join(kept.select("request_id"), "request_id", "left_anti"), "open")
-    return kept.withColumn("eta_min", tf.estimated_minutes(F.col("distance_km")))

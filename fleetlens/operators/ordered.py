@@ -61,8 +61,10 @@ def with_halo(df: DataFrame, position: Column, size: int, before: int = 0, after
     ``position`` is a whole number (a row index or epoch seconds) and ``size`` the block length in the
     same unit. A block then also holds the rows up to ``before`` units ahead of its start and ``after``
     units past its end. ``__own`` marks the one copy of each row that belongs to its own block.
-    Needs ``before, after <= size``.
+    ``size`` must be at least ``before`` and ``after``.
     """
+    if size < max(before, after):
+        raise ValueError("the blocks are shorter than the halo")
     own, low, high = (F.floor(p / size) for p in (position, position - after, position + before))
     blocks = F.when(low == high, F.array(own)).otherwise(F.array_distinct(F.array(low, own, high)))
     return (

@@ -67,7 +67,7 @@ def _with_status(points: DataFrame) -> DataFrame:
 
 
 def _near_index(points: DataFrame, before: int, after: int) -> DataFrame:
-    return with_halo(points, F.col("point_index"), POINTS_PER_BLOCK, before, after)
+    return with_halo(points, F.col("point_index"), max(POINTS_PER_BLOCK, before, after), before, after)
 
 
 def _block_order() -> Window:

@@ -44,11 +44,14 @@ def demand_supply_1h(spark, sf_dir):
 @query(f"""WITH {b.MATCH_SQL},
 counts AS (SELECT zone_id, CAST(floor(epoch(event_time)) AS BIGINT) // 3600 AS slot, count(*) AS requests
            FROM requests GROUP BY ALL),
+starts AS (SELECT zone_id, min(slot) AS first_slot FROM counts GROUP BY 1),
 rated AS (
-  SELECT *, coalesce(sum(requests) OVER (PARTITION BY zone_id ORDER BY slot RANGE BETWEEN 24 PRECEDING AND 1 PRECEDING), 0)
-            / 24 AS usual FROM counts)
+  SELECT c.zone_id, c.slot, c.requests,
+         (SELECT sum(p.requests) FROM counts p WHERE p.zone_id = c.zone_id AND p.slot BETWEEN c.slot - 24 AND c.slot - 1)
+         / nullif(least(24, c.slot - first_slot), 0) AS usual
+  FROM counts c JOIN starts s ON s.zone_id = c.zone_id)
 SELECT zone_id, CAST(make_timestamp(slot * 3600 * 1000000) AS TIMESTAMP) AS window_start, requests, round(usual, 6) AS usual
-FROM rated WHERE usual > 0 AND requests >= 3 * usual""")
+FROM rated WHERE usual > 0 AND requests >= 3 * usual AND requests >= 2""")
 def demand_spikes(spark, sf_dir):
     out = demand.demand_spikes(b.requests(spark, sf_dir), window_seconds=3600)
     return plain_times(out.withColumn("usual", F.round("usual", 6)), "window_start")
@@ -180,13 +183,15 @@ def forecast_features(spark, sf_dir):
 
 @query()
 def forecast_score(spark, sf_dir):
-    """Predicted demand per request, with a model trained on the gap-filled series."""
-    history = slots(spark, sf_dir)
-    rows = features.features_timelag(history).withColumn("is_train", F.lit(True))
-    model = forecast.train(rows, maxIter=10)
-    asked = features.request_features(_asked(spark, sf_dir), history)
+    """Predicted demand per request, with the model of ``gbt_evaluation``, which knows none of these slots.
+
+    A request whose zone has no week of history before it has no prediction, and says so.
+    """
+    model = forecast.train(split(spark, sf_dir))
+    asked = features.request_features(_asked(spark, sf_dir), slots(spark, sf_dir))
     return forecast.predict(model, asked).select(
-        "request_id", "zone_id", "datetime", F.col("prediction").alias("predicted_demand"))
+        "request_id", "zone_id", "datetime", F.col("prediction").alias("predicted_demand"),
+        F.when(F.col("prediction").isNull(), "short history").alias("reason"))
 
 
 @query(f"""WITH {b.ORDER_DEMAND_SQL} {_features_sql('demand')}, {b.ZONES_SQL},

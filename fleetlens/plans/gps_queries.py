@@ -14,7 +14,7 @@ from fleetlens.sources import serving, zones as zs
 
 
 def parsed(spark, sf_dir):
-    return gps.parse_gps(b.gps_messages(b.spread(spark, sf_dir, "events")))
+    return gps.parse_gps(b.gps_messages(b.table(spark, sf_dir, "events")))
 
 
 @query(f"""WITH {b.PARSED_SQL}
@@ -202,9 +202,11 @@ def late_per_source(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.count_if("is_late").alias("late"))
 
 
-@query("""SELECT l_orderkey AS event_id FROM lineitem GROUP BY 1""")
+@query("""SELECT l_orderkey AS event_id, l_linenumber, l_partkey, l_suppkey FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""")
 def one_row_per_event(spark, sf_dir):
-    e = b.table(spark, sf_dir, "lineitem", "l_orderkey").withColumnRenamed("l_orderkey", "event_id")
+    e = b.table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey") \
+        .withColumnRenamed("l_orderkey", "event_id")
     return lateness.one_row_per_event(e)
 
 

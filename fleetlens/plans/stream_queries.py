@@ -68,9 +68,8 @@ def stream_polygon_zones(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("zone_id", "arrondissement", "arrival")
 
 
-def _sides(spark, sf_dir):
-    """Positions and requests as streams over the same table."""
-    events = arriving(spark, sf_dir, "events")
+def _sides_of(events):
+    """Positions and requests as streams over the same events."""
     at = F.col("ts").cast("timestamp").alias("event_time")
     zone = gps.geo.grid_zone(b._lat(), b._lon()).alias("zone_id")
     positions = events.filter("event_type <> 'purchase'").select(zone, at, F.col("user_id").alias("taxi_id"))
@@ -78,21 +77,32 @@ def _sides(spark, sf_dir):
     return positions, requests
 
 
-# Windows are reported once the watermark, 3 minutes behind the newest event of the slower side, has passed them.
-_CLOSED = """ WHERE window_end <= (
-  SELECT date_trunc('millisecond', least(max(ts) FILTER (event_type = 'purchase'), max(ts) FILTER (event_type <> 'purchase')))
-         - INTERVAL 3 MINUTE FROM events)"""
+def _replayed_demand(spark, sf_dir, window):
+    """The table arrives in six spans of time, then a ping two days later, which closes all windows."""
+    root = scratch_path(spark, "demand-stream")
+    events = b.table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
+    end = events.agg(F.max("ts").alias("ts"))
+    closing = end.select(F.lit(-1).cast("long").alias("event_id"), F.lit(0).cast("long").alias("user_id"),
+                         (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"), F.lit("ping").alias("event_type"))
 
+    def job(arriving):
+        return io.to_files(jobs.demand_stream(*_sides_of(arriving), window=window), f"{root}/out", f"{root}/checkpoint")
 
-@query(dq._supply_sql("1 HOUR") + _CLOSED)
-def stream_demand(spark, sf_dir):
-    root = scratch_path(spark, "demand-stream")
-    out = jobs.demand_stream(*_sides(spark, sf_dir), window="1 hour")
-    io.drain(io.to_files(out, f"{root}/out", f"{root}/checkpoint"))
+    io.replay(events, "ts", 6, f"{root}/in", job, closing.select(events.columns))
     return plain_times(
         spark.read.parquet(f"{root}/out").withColumn("ratio", F.round("ratio", 6)), "window_start", "window_end")
 
 
+@query(dq._supply_sql("1 HOUR"))
+def stream_demand(spark, sf_dir):
+    return _replayed_demand(spark, sf_dir, "1 hour")
+
+
+@query(dq._supply_sql("30 SECOND"))
+def stream_demand_30s(spark, sf_dir):
+    return _replayed_demand(spark, sf_dir, "30 seconds")
+
+
 @query()
 def stream_demand_approx(spark, sf_dir):
     root = scratch_path(spark, "approx-stream")

@@ -38,7 +38,7 @@ def curate_hash_zone(spark, sf_dir):
 
 
 @query(f'WITH {b.REPEATED_TRIPS_SQL} SELECT TRIP_ID, "TIMESTAMP", POLYLINE FROM repeated_trips '
-       'QUALIFY row_number() OVER (PARTITION BY TRIP_ID ORDER BY "TIMESTAMP", POLYLINE) = 1')
+       'QUALIFY row_number() OVER (PARTITION BY TRIP_ID ORDER BY TRY_CAST("TIMESTAMP" AS BIGINT), "TIMESTAMP", POLYLINE) = 1')
 def one_row_per_trip(spark, sf_dir):
     return curate.one_row_per_trip(b.repeated_trips(spark, sf_dir))
 

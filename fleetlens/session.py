@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Dimensions (zones, cells, curves) are broadcast only after their row count has been checked.
-BROADCAST_MAX_ROWS = 200_000
+# Dimensions (zones, cells, curves) are broadcast only after their size has been measured.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def build_session(app: str = "fleetlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -80,20 +80,10 @@ def fixed_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> Data
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input that fills fewer tasks than the cluster can run at once.
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark a dimension for broadcast if its rows, measured as JSON text, take at most ``max_bytes``.
 
-    Large inputs have more splits than slots and pass unchanged, without an extra shuffle.
+    A larger one is returned unmarked, and Catalyst picks a shuffle join. Meant for written tables.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast if it is proven to hold at most ``max_rows`` rows.
-
-    A larger one is returned unmarked, and Catalyst picks a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df

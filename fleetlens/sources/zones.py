@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 from fleetlens import constants as K
 from fleetlens import schemas
 from fleetlens.functions import geo, text
-from fleetlens.session import spread_small
 
 CELL_DEG = 0.0025
-MAX_ZONES = 10_000  # the lookup keeps one list of all zone centres
 _PAD = 1e-9  # cell borders are computed with rounding; edges this close belong to both sides
 
 
@@ -95,7 +93,7 @@ def _reaching_edges(edges: Column, lo_lat: Column, hi_lat: Column, lo_lon: Colum
 
 def _polygon_cells(zones: DataFrame, size: float) -> DataFrame:
     """One row per (cell, polygon whose box touches it) with the edges that matter there."""
-    polygons = spread_small(zones).select(
+    polygons = zones.repartition("seq").select(
         "seq", _attributes().alias("zone"), F.posexplode("polygons").alias("part", "rings")
     ).withColumns({
         "lons": F.transform(F.col("rings")[0], lambda p: p[0]),

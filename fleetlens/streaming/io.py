@@ -74,6 +74,23 @@ def start(writer: DataStreamWriter, interval: str = TRIGGER_INTERVAL):
     return writer.trigger(processingTime=interval).start()
 
 
+def replay(events: DataFrame, time: str, slices: int, path: str, writer: Callable[[DataFrame], DataStreamWriter],
+           *after: DataFrame) -> None:
+    """Feed a table to a stream in ``slices`` equal spans of time, then ``after``; each arrives once the one before is done.
+
+    ``writer`` makes the query from the stream of files in ``path``. Its checkpoint carries the state on.
+    """
+    first, last = events.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return
+    step = (last - first) / slices
+    parts = [events.filter((F.col(time) >= F.lit(first + k * step)) & (
+        F.col(time) < F.lit(first + (k + 1) * step) if k + 1 < slices else F.lit(True))) for k in range(slices)]
+    for part in [*parts, *after]:
+        part.write.mode("append").parquet(path)
+        drain(writer(read_files(events.sparkSession, path, events.schema)))
+
+
 def drain(writer: DataStreamWriter) -> None:
     """Process everything there is and stop; the way to replay history through the stream path."""
     writer.trigger(availableNow=True).start().awaitTermination()

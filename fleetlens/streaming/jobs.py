@@ -22,7 +22,7 @@ def demand_stream(positions: DataFrame, requests: DataFrame, window: str = K.DEM
 
     Same steps as the batch form: state per (zone, window, taxi), then per (zone, window).
     """
-    return demand.demand_supply(watermarked(positions), watermarked(requests), window)
+    return demand.demand_supply(positions, requests, window, WATERMARK)
 
 
 def demand_approx(events: DataFrame, window: str = K.DEMAND_WINDOW) -> DataFrame:
@@ -82,8 +82,14 @@ class Matcher:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """``batch``: event_id, taxi_id, event_time, lat, lon, zone_id, status, is_request."""
-        spark = batch.sparkSession
         batch.persist()
+        try:
+            self._write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         pings = batch.filter(~F.col("is_request")).withColumns({
             "day": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
         (pings.sortWithinPartitions("day", "event_time").write.mode("overwrite")
@@ -92,7 +98,6 @@ class Matcher:
         first, last = requests.agg(F.min("event_time"), F.max("event_time")).first()
         if first is not None:
             self._match(requests, spark.read.schema(pings.schema).parquet(self.log), first, last, batch_id)
-        batch.unpersist()
 
     def _match(self, requests: DataFrame, log: DataFrame, first, last, batch_id: int) -> None:
         early = F.lit(first) - F.make_interval(secs=F.lit(self.fresh))

@@ -73,13 +73,15 @@ class GpsSinks:
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()
-        flagged = self.late_filter.apply(batch, batch_id)
         judged = f"{self.root}/judged/batch_id={batch_id}"
-        by_lateness = flagged.withColumn("late", F.col("is_late").cast("int")).drop("is_late")
-        (by_lateness.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("late").parquet(judged))
-        batch.unpersist()
+        batch.persist()
+        try:
+            flagged = self.late_filter.apply(batch, batch_id)
+            by_lateness = flagged.withColumn("late", F.col("is_late").cast("int")).drop("is_late")
+            (by_lateness.write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy("late").parquet(judged))
+        finally:
+            batch.unpersist()
         kept = spark.read.schema(by_lateness.schema).parquet(judged).filter("late = 0").select(
             "city", "zone_id", "event_time", "taxi_id", "lat", "lon", "speed", "status",
             F.lit(batch_id).alias("batch_id"))

@@ -77,14 +77,21 @@ def test_nearest_equals_brute_force(spark, seed, crowded):
     assert len(want) > 60 and got == want
 
 
+def test_exclusive_gives_every_request_a_free_taxi(spark):
+    place = (33.55, -7.60)
+    p, r = frames(spark, [(i, i, 100, *place, "moving") for i in range(8)], [(i, 110, *place) for i in range(8)])
+    got = match.match_exclusive(r, p, window_seconds=600).collect()
+    assert {x.request_id for x in got} == {x.taxi_id for x in got} == set(range(8)) and len(got) == 8
+
+
 def test_exclusive_equals_the_rounds_by_hand(spark):
     pings, requests = city(4, 300, 150, 12, 0.5)
     p, r = frames(spark, pings, requests)
-    got = {(x.request_id, x.taxi_id, x.round) for x in match.match_exclusive(r, p, rounds=3, window_seconds=120).collect()}
+    got = {(x.request_id, x.taxi_id, x.round) for x in match.match_exclusive(r, p, window_seconds=120).collect()}
 
-    want, taken, done = set(), set(), set()
-    for number in (1, 2, 3):
-        offers = {}
+    want, taken, done, number, offers = set(), set(), set(), 0, True
+    while offers:
+        number, offers = number + 1, {}
         for request in requests:
             if request[0] in done:
                 continue

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from fleetlens.session import materialize, shared_dir, small_side, spread_small
+from fleetlens.session import materialize, shared_dir, small_side
 from fleetlens.sources import files, serving
 
 
@@ -54,13 +54,7 @@ def test_shared_folder_comes_from_the_session(spark):
 
 def test_only_small_sides_are_broadcast(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(small_side(spark.range(10), 10)) and not hinted(small_side(spark.range(11), 10))
-
-
-def test_small_inputs_are_spread(spark):
-    assert spread_small(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
-    big = spark.range(10, numPartitions=9)
-    assert spread_small(big) is big
+    assert hinted(small_side(spark.range(10), 80)) and not hinted(small_side(spark.range(11), 80))
 
 
 @pytest.mark.parametrize("missing", ["v"])

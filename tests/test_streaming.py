@@ -77,14 +77,27 @@ def test_demand_stream_equals_batch(spark, tmp_path):
     data = [(z, T0 + s, (s + z) % 5 if s % 3 else None) for z in (1, 2) for s in range(0, 300, 7)]
     df = spark.createDataFrame(data, "zone_id int, s long, taxi_id long").select(
         "zone_id", F.timestamp_seconds("s").alias("event_time"), "taxi_id")
-    # The watermark follows the slower side, so a ping and a request far ahead close the windows before them.
-    closing = spark.createDataFrame([(3, T0 + 3600, 1), (3, T0 + 3600, None)], "zone_id int, s long, taxi_id long").select(
+    # One side alone closes the windows: a silent one holds nothing back.
+    closing = spark.createDataFrame([(3, T0 + 3600, 1)], "zone_id int, s long, taxi_id long").select(
         "zone_id", F.timestamp_seconds("s").alias("event_time"), "taxi_id")
     stream = as_batches(spark, tmp_path / "in", [df, closing])
     io.drain(io.to_files(jobs.demand_stream(*sides(stream)), str(tmp_path / "out"), str(tmp_path / "cp")))
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(demand.demand_supply(*sides(df)))
 
 
+def test_pings_alone_close_the_windows(spark, tmp_path):
+    df = spark.createDataFrame([(1, T0 + s, 1) for s in range(0, 3600, 10)], "zone_id int, s long, taxi_id long").select(
+        "zone_id", F.timestamp_seconds("s").alias("event_time"), "taxi_id")
+
+    def job(events):
+        return io.to_files(jobs.demand_stream(*sides(events)), str(tmp_path / "out"), str(tmp_path / "cp"))
+
+    io.replay(df, "event_time", 4, str(tmp_path / "in"), job)
+    closed = spark.read.parquet(str(tmp_path / "out"))
+    # All windows that end 3 minutes before the last ping or earlier, each once.
+    assert closed.count() == closed.select("window_start").distinct().count() == (3590 - 180) // 30
+
+
 def test_repeats_within_the_watermark_are_dropped(spark, tmp_path):
     df = spark.createDataFrame([("a", T0), ("a", T0), ("b", T0)], "event_id string, s long").select(
         "event_id", F.timestamp_seconds("s").alias("event_time"))

@@ -74,3 +74,11 @@ def test_hot_trip_ids_are_cut_before_the_shuffle(spark):
     raw = spark.createDataFrame([("t", "1", "p")], "TRIP_ID string, TIMESTAMP string, POLYLINE string")
     plan = curate.one_row_per_trip(raw)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_smoothing_is_right_beyond_a_block(spark):
+    points = spark.range(30_000).select(
+        F.lit("t").alias("trip_id"), F.col("id").alias("point_index"), F.col("id").cast("double").alias("lat"),
+        F.col("id").cast("double").alias("lon"))
+    got = t.smooth(points, 9000).filter("point_index = 10000").first()
+    assert got["smooth_lat"] == 10000.0
