@@ -17,6 +17,8 @@ from fleetlens.session import materialize
 
 #: Characters of a chunk: at least, and at most where no boundary comes.
 SHORTEST, LONGEST = 512, 4096
+#: Tasks that share the rows of a group of copies.
+SALTS = 16
 
 
 def chunks(text: Column, shortest: int = SHORTEST, longest: int = LONGEST) -> Column:
@@ -25,11 +27,13 @@ def chunks(text: Column, shortest: int = SHORTEST, longest: int = LONGEST) -> Co
         text, F.lit(rf"(?s).{{{shortest},{longest}}}?(?<=[.,;:!?]\s)|.{{1,{longest}}}"), F.lit(0))
 
 
-def _clashes(cut: DataFrame, identifier: Callable[[Column], Column]) -> DataFrame:
-    """Chunks whose identifier stands for several contents, numbered within the identifier."""
+def _clashes(cut: DataFrame, identifier: Callable[[Column], Column]) -> DataFrame | None:
+    """Chunks whose identifier stands for several contents, numbered within the identifier; None if there are none."""
     contents = cut.select(F.explode("chunks").alias("chunk")).distinct() \
         .select(identifier(F.col("chunk")).alias("chunk_id"), "chunk")
-    shared = contents.groupBy("chunk_id").count().filter("count > 1").select("chunk_id")
+    shared = materialize(contents.groupBy("chunk_id").count().filter("count > 1").select("chunk_id"), "chunk-clashes")
+    if shared.isEmpty():
+        return None
     numbered = F.row_number().over(Window.partitionBy("chunk_id").orderBy("chunk"))
     return contents.join(shared, "chunk_id", "left_semi").withColumn("content", numbered)
 
@@ -45,10 +49,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     norm = picked(docs, id_col, text_col).select("doc_id", lower_ascii(F.col("text")).alias("norm"))
     cut = norm.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), chunks(F.col("norm")).alias("chunks"))
-    clashes = materialize(_clashes(cut, identifier), "chunk-clashes")
+    clashes = _clashes(cut, identifier)
     recipes = cut.select("doc_id", "text_sha256",
                          F.transform("chunks", lambda c: identifier(c)).alias("recipe"))
-    if not clashes.isEmpty():
+    if clashes is not None:
         # Documents with an ambiguous chunk say in a second list which content each one has.
         marks = cut.select("doc_id", "text_sha256", F.posexplode("chunks").alias("pos", "chunk")) \
             .join(clashes.select("chunk", "content"), "chunk") \
@@ -61,9 +65,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     recipes = recipes.dropDuplicates(["doc_id", "recipe"])
     groups = recipes.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")) \
         .filter("group_size > 1")
+    # A group of copies may be a large part of all rows: each row joins one of SALTS copies of its group.
+    groups = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    recipes = recipes.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     single = F.col("group_size").isNull()
     keep_id = F.when(single, F.col("doc_id")).otherwise(F.col("keep_id"))
-    return recipes.join(groups, "recipe", "left").select(
+    return recipes.join(groups, ["recipe", "salt"], "left").select(
         "doc_id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
 
