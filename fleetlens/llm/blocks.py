@@ -8,6 +8,7 @@ third of all documents costs one entry per block, not one per document.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.memory import tidy
 from fleetlens.llm.text import picked
 from fleetlens.session import materialize
 
@@ -59,7 +61,7 @@ def write_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield row()
 
     packed = picked(docs, id_col, text_col).mapInArrow(
-        batches, "block long, doc_ids array<long>, texts array<string>, bytes long")
+        tidy(batches), "block long, doc_ids array<long>, texts array<string>, bytes long")
     return materialize(packed, "blocks")
 
 
@@ -70,21 +72,30 @@ def shard_count(blocks: DataFrame) -> int:
 
 
 def packed(arrays: list[np.ndarray]) -> bytes:
-    """Arrays as bytes; whole numbers that are small take fewer of them."""
+    """Arrays as bytes. Whole numbers that are small take fewer of them, stored plane by plane and compressed if it helps."""
     out = []
     for x in arrays:
         if x.dtype.kind == "u" and x.itemsize > 1:
             x = x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
-        out.append(np.array([ord(x.dtype.kind), x.itemsize, len(x)], np.int64).tobytes() + x.tobytes())
+        data = x.tobytes()
+        if x.dtype.kind == "u" and x.itemsize < 8 and len(x) > 64:
+            small = zlib.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
+            data = small if len(small) < 0.9 * len(data) else data
+        out.append(np.array([ord(x.dtype.kind), x.itemsize, len(x), len(data)], np.int64).tobytes() + data)
     return b"".join(out)
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
     out, at = [], 0
     while at < len(data):
-        kind, size, n = np.frombuffer(data, np.int64, 3, at).tolist()
-        out.append(np.frombuffer(data, f"{chr(kind)}{size}", n, at + 24))
-        at += 24 + n * size
+        kind, size, n, stored = np.frombuffer(data, np.int64, 4, at).tolist()
+        at += 32
+        if stored == n * size:
+            out.append(np.frombuffer(data, f"{chr(kind)}{size}", n, at))
+        else:
+            planes = np.frombuffer(zlib.decompress(data[at:at + stored]), np.uint8).reshape(size, n)
+            out.append(np.ascontiguousarray(planes.T).view(f"{chr(kind)}{size}").ravel())
+        at += stored
     return out
 
 
@@ -94,14 +105,15 @@ def spread(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
 
 
-def ask_rows(block: int, shard: np.ndarray, arrays: list[np.ndarray]) -> tuple[pa.RecordBatch, np.ndarray]:
-    """A row per shard with the block's questions to it, and the order in which the questions were put."""
+def ask_rows(block: int, shard: np.ndarray, arrays: list[np.ndarray],
+             form: Callable[[list[np.ndarray]], list[np.ndarray]] = list) -> tuple[pa.RecordBatch, np.ndarray]:
+    """A row per shard with the block's questions to it in some form, and the order in which they were put."""
     order = np.argsort(shard, kind="stable")
     shard = shard[order]
     first = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(shard) else np.empty(0, np.int64)
     ends = np.append(first, len(shard))[1:]
     arrays = [x[order] for x in arrays]
-    data = [packed([x[a:b] for x in arrays]) for a, b in zip(first, ends, strict=True)]
+    data = [packed(form([x[a:b] for x in arrays])) for a, b in zip(first, ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(shard[first], pa.int32()), pa.array([block] * len(first), pa.int64()),
                                        pa.array(data, pa.binary())], schema=ASK), order
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import blocks as B
+from fleetlens.llm.memory import tidy
 from fleetlens.session import materialize
 
 #: Identifier of the end of a text, which also stands before its first word.
@@ -29,8 +30,8 @@ MOST_BACKOFF = 0.95
 CLASSES = 64
 #: Quantised probabilities: steps of the logarithm; 0 means that the n-gram was not seen.
 STEP = 0.002
-#: Words after which a block ends.
-BLOCK_WORDS = 1 << 20
+#: Words after which a block ends, and words per shard.
+BLOCK_WORDS, SHARD_WORDS = 1 << 20, 1 << 20
 
 
 # --- Elias-Fano ------------------------------------------------------------------------------
@@ -39,12 +40,13 @@ def elias_fano(values: np.ndarray) -> bytes:
     """A sequence of uint64 that never falls: low bits as they are, high bits in unary."""
     n, last = len(values), int(values[-1]) if len(values) else 0
     low = max(0, (last // n).bit_length() - 1) if n else 0
-    lows = values & np.uint64((1 << low) - 1)
-    bits = ((lows[:, None] >> np.arange(low, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).ravel()
+    bits = np.empty((n, low), np.uint8)
+    for k in range(low):
+        bits[:, k] = (values >> np.uint64(k)) & np.uint64(1)
     ones = (values >> np.uint64(low)).astype(np.int64) + np.arange(n)
     unary = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
     unary[ones] = 1
-    packed_low, packed_high = np.packbits(bits), np.packbits(unary)
+    packed_low, packed_high = np.packbits(bits.ravel()), np.packbits(unary)
     head = np.array([n, low, len(packed_low), len(packed_high)], np.int64)
     return head.tobytes() + packed_low.tobytes() + packed_high.tobytes()
 
@@ -138,7 +140,7 @@ def _token_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) ->
     stands for the end of a text.
     """
     schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.binary()),
-                        ("learn", pa.binary()), ("codes", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())])
+                        ("learn", pa.binary()), ("codes", pa.binary()), ("words", pa.binary()), ("parts", pa.binary()), ("n_words", pa.int64())])
 
     def block_row(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         ids, texts, learnt = (pa.chunked_array([r[c] for r in rows]).combine_chunks() for c in ("doc_id", "text", "learn"))
@@ -153,7 +155,8 @@ def _token_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) ->
         counts[-1] = learnt.sum()
         return pa.RecordBatch.from_pylist([{
             "block": block, "doc_ids": ids.to_pylist(), "sizes": sizes.tobytes(), "learn": learnt.tobytes(),
-            "codes": _planes(codes), "words": B.packed([hashes, counts.astype(np.uint64)]), "n_words": len(codes)}], schema)
+            "codes": _planes(codes), "words": B.packed([hashes, counts.astype(np.uint64)]),
+            "parts": B.packed([_part(hashes)]), "n_words": len(codes)}], schema)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -172,8 +175,13 @@ def _token_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) ->
 
     flat = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.coalesce(learn, F.lit(False)).alias("learn"))
-    return materialize(flat.mapInArrow(batches, "block long, doc_ids array<long>, sizes binary, learn binary, "
-                                                "codes binary, words binary, n_words long"), "token-blocks")
+    return materialize(flat.mapInArrow(tidy(batches), "block long, doc_ids array<long>, sizes binary, learn binary, "
+                                                "codes binary, words binary, parts binary, n_words long"), "token-blocks")
+
+
+def _part(hashes: np.ndarray) -> np.ndarray:
+    """What decides the shard of a word, as four bytes."""
+    return (hashes.astype(np.uint64) >> np.uint64(32)).astype(np.uint32)
 
 
 class _Tokens:
@@ -182,8 +190,8 @@ class _Tokens:
     def __init__(self, row: dict):
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         words = _codes(row["codes"])
-        asked = B.unpacked(row["words"])[0].astype(np.uint64)
-        order = np.argsort(B.spread(asked, row["shards"]), kind="stable")
+        asked, = B.unpacked(row["parts"])
+        order = np.argsort(asked % row["shards"], kind="stable")
         count, number = B.in_order(row["known"], order, 2)
         self.count, self.number = count.astype(np.float64), number.astype(np.uint64)
         self.end = len(asked) - 1
@@ -202,6 +210,18 @@ class _Tokens:
         return found // wide, found % wide, taught, at, which
 
 
+def _in_runs(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    """Pairs, which come by context, with each context once."""
+    context, word, taught, seen = arrays
+    first = _runs(context)
+    return [context[first], np.diff(np.append(first, len(context))).astype(np.uint64), seen[first], word, taught]
+
+
+def _from_runs(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    context, size, seen, word, taught = arrays
+    return [np.repeat(context, size.astype(np.int64)), word, taught, np.repeat(seen, size.astype(np.int64))]
+
+
 def _pair_shards(context: np.ndarray, word: np.ndarray, seen: np.ndarray, total: int, shards: int) -> np.ndarray:
     """The shard of each pair: by context; contexts of a large share of the corpus are split by the word."""
     hot = seen > total / (4 * shards)
@@ -219,7 +239,7 @@ def _summary(answers: DataFrame, place: int, size: int) -> list[int]:
                                                   pa.array(np.concatenate(rows).astype(np.int64))], ["figure", "value"])
 
     out = [0] * size
-    for row in answers.select("data").mapInArrow(figures, "figure long, value long").groupBy("figure") \
+    for row in answers.select("data").mapInArrow(tidy(figures), "figure long, value long").groupBy("figure") \
             .agg(F.sum("value").alias("value")).collect():
         out[row["figure"]] = row["value"]
     return out
@@ -243,13 +263,13 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     are told apart by a 64-bit hash.
     """
     blocks = _token_blocks(docs, id_col, text_col, learn)
-    shards = max(B.LEAST_SHARDS, -(-(blocks.agg(F.sum("n_words")).first()[0] or 0) // (3 << 20)))
+    shards = max(B.LEAST_SHARDS, -(-(blocks.agg(F.sum("n_words")).first()[0] or 0) // SHARD_WORDS))
 
     def ask_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for block, words in zip(part["block"].to_pylist(), part["words"].to_pylist(), strict=True):
                 hashes, counts = B.unpacked(words)
-                yield B.ask_rows(block, B.spread(hashes.astype(np.uint64), shards), [hashes, counts])[0]
+                yield B.ask_rows(block, (_part(hashes) % shards).astype(np.int32), [hashes, counts])[0]
 
     def number_words(told: list[list[np.ndarray]], shard: int) -> list[list[np.ndarray]]:
         hashes = np.concatenate([t[0].astype(np.uint64) for t in told])
@@ -261,7 +281,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         answers[0].append(np.array([count.sum(), (count > 0).sum(), (count == 1).sum(), (count == 2).sum()], np.uint64))
         return answers
 
-    asked = blocks.select("block", "words").mapInArrow(ask_words, B.ASK_DDL)
+    asked = blocks.select("block", "words").mapInArrow(tidy(ask_words), B.ASK_DDL)
     known = materialize(B.answered(asked, number_words), "word-numbers")
 
     total, distinct, once, twice = _summary(known, 2, 4)
@@ -278,9 +298,10 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             before, word, taught, _, _ = tokens.pairs()
             context, number, seen = tokens.number[before], tokens.number[word], tokens.count[before]
             yield B.ask_rows(row["block"], _pair_shards(context, number, seen, total, shards),
-                             [context, number, taught, seen.astype(np.uint64)])[0]
+                             [context, number, taught, seen.astype(np.uint64)], _in_runs)[0]
 
     def pair_codes(told: list[list[np.ndarray]], shard: int) -> list[list[np.ndarray]]:
+        told = [_from_runs(t) for t in told]
         context, word, taught, seen = (np.concatenate([t[k] for t in told]).astype(np.uint64) for k in range(4))
         taught_at = np.flatnonzero(taught)
         order = taught_at[np.lexsort((word[taught_at], context[taught_at]))]
@@ -320,10 +341,10 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                 pa.array(sums[1]), pa.array(sums[2])],
                 ["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    with_known = blocks.drop("n_words").join(B.gathered(known, "known"), "block")
-    pairs = materialize(B.answered(with_known.mapInArrow(ask_pairs, B.ASK_DDL), pair_codes), "pair-codes")
+    with_known = blocks.drop("n_words", "words").join(B.gathered(known, "known"), "block")
+    pairs = materialize(B.answered(with_known.mapInArrow(tidy(ask_pairs), B.ASK_DDL), pair_codes), "pair-codes")
     figures = np.array(_summary(pairs, 1, 2 * CLASSES), float)
     backoff = np.minimum((figures[:CLASSES] + 1) / (figures[CLASSES:] + 1), MOST_BACKOFF)
     return with_known.join(B.gathered(pairs, "codes_of_pairs"), "block", "left").mapInArrow(
-        scores, "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, "
+        tidy(scores), "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")

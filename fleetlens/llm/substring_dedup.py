@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import blocks as B
+from fleetlens.llm.memory import tidy
 
 WINDOW, GROUP = 50, 16
 #: Odd multipliers of the two window hashes.
@@ -196,9 +197,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
     texts = table.select("block", "doc_ids", "texts")
-    shared = B.gathered(B.answered(texts.mapInArrow(ask_groups, B.ASK_DDL), _shared), "shared")
+    shared = B.gathered(B.answered(texts.mapInArrow(tidy(ask_groups), B.ASK_DDL), _shared), "shared")
     with_shared = texts.join(shared, "block", "left")
-    least = B.gathered(B.answered(with_shared.mapInArrow(ask_windows, B.ASK_DDL), _least_ids), "least")
+    least = B.gathered(B.answered(with_shared.mapInArrow(tidy(ask_windows), B.ASK_DDL), _least_ids), "least")
     ddl = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
            "factors array<struct<start:long,length:long,reference:long>>" + ", kept string" * with_text)
-    return with_shared.join(least, "block", "left").mapInArrow(parse, ddl)
+    return with_shared.join(least, "block", "left").mapInArrow(tidy(parse), ddl)
