@@ -74,13 +74,14 @@ def _requests(requests: DataFrame, fresh: int, *extra: str) -> DataFrame:
 
 
 def match_nearest(requests: DataFrame, positions: DataFrame, fresh: int = FRESH_SECONDS) -> DataFrame:
-    """Per request with a candidate: taxi_id, taxi_zone, ring (0 own zone, 1 neighbour), distance, ETA.
+    """Per request: taxi_id, taxi_zone, ring (0 own zone, 1 neighbour), distance, ETA; null without a candidate.
 
     ``requests``: request_id, event_time, lat, lon, zone_id.
     """
     periods = materialize(_by_bucket(valid_periods(positions, fresh), fresh), "periods")
     asked = materialize(_requests(requests, fresh), "requests")
-    return _nearest(asked, periods).withColumn("eta_min", tf.estimated_minutes(F.col("distance_km")))
+    found = _nearest(asked, periods).withColumn("eta_min", tf.estimated_minutes(F.col("distance_km")))
+    return asked.select("request_id").join(found, "request_id", "left")
 
 
 def _nearest(asked: DataFrame, periods: DataFrame, taken: DataFrame | None = None) -> DataFrame:

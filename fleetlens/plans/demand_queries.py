@@ -270,10 +270,12 @@ pairs AS (
   WHERE p.status <> 'blackout')"""
 
 
-@query(f"""{_NEAREST_SQL}
-SELECT request_id, taxi_id, taxi_zone, ring, round(km, 6) AS distance_km,
-       round(CASE WHEN km > 0 THEN greatest(2::DOUBLE, km / 25 * 60) ELSE 5::DOUBLE END, 6) AS eta_min
-FROM pairs QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY ring, km, taxi_id) = 1""")
+@query(f"""{_NEAREST_SQL},
+best AS (
+  SELECT request_id, taxi_id, taxi_zone, ring, round(km, 6) AS distance_km,
+         round(CASE WHEN km > 0 THEN greatest(2::DOUBLE, km / 25 * 60) ELSE 5::DOUBLE END, 6) AS eta_min
+  FROM pairs QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY ring, km, taxi_id) = 1)
+SELECT r.request_id, taxi_id, taxi_zone, ring, distance_km, eta_min FROM requests r LEFT JOIN best b ON b.request_id = r.request_id""")
 def match_nearest(spark, sf_dir):
     out = match.match_nearest(b.requests(spark, sf_dir), b.positions(spark, sf_dir))
     return out.select("request_id", "taxi_id", "taxi_zone", "ring", r6("distance_km"), r6("eta_min"))

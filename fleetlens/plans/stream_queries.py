@@ -20,11 +20,18 @@ def arriving(spark, sf_dir, name):
     return io.read_files(spark, sf_dir, schema, pathGlobFilter=file)
 
 
+BATCHES = 5
+
+
 def _through_sinks(spark, sf_dir, lookup=None, options=gps.GRID):
+    """The table arrives in parts by event id, which orders the arrivals of all sources."""
     root = scratch_path(spark, "gps-stream")
-    sinks = GpsSinks(root, LateFilter(f"{root}/seen"))
-    stream = normalized_stream(b.gps_messages(arriving(spark, sf_dir, "events")), options, lookup)
-    io.drain(io.each_batch(stream, sinks.write, f"{root}/checkpoint"))
+    sinks = GpsSinks(root, LateFilter(f"{root}/seen", sources=[]))
+
+    def job(events):
+        return io.each_batch(normalized_stream(b.gps_messages(events), options, lookup), sinks.write, f"{root}/checkpoint")
+
+    io.replay(b.table(spark, sf_dir, "events"), "event_id", BATCHES, f"{root}/in", job)
     return sinks
 
 
@@ -77,18 +84,21 @@ def _sides_of(events):
     return positions, requests
 
 
+def _closing(events, event_type="ping"):
+    """A ping two days after the last event: whatever it belongs to stays open, all before it is over."""
+    values = {"event_id": F.lit(-1), "user_id": F.lit(0), "ts": F.max("ts") + F.expr("INTERVAL 2 DAYS"),
+              "event_type": F.lit(event_type)}
+    return events.agg(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
+
+
 def _replayed_demand(spark, sf_dir, window):
-    """The table arrives in six spans of time, then a ping two days later, which closes all windows."""
+    """The table arrives in spans of time, then a ping two days later, which closes all windows."""
     root = scratch_path(spark, "demand-stream")
     events = b.table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
-    end = events.agg(F.max("ts").alias("ts"))
-    closing = end.select(F.lit(-1).cast("long").alias("event_id"), F.lit(0).cast("long").alias("user_id"),
-                         (F.col("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"), F.lit("ping").alias("event_type"))
-
     def job(arriving):
         return io.to_files(jobs.demand_stream(*_sides_of(arriving), window=window), f"{root}/out", f"{root}/checkpoint")
 
-    io.replay(events, "ts", 6, f"{root}/in", job, closing.select(events.columns))
+    io.replay(events, "ts", BATCHES, f"{root}/in", job, _closing(events))
     return plain_times(
         spark.read.parquet(f"{root}/out").withColumn("ratio", F.round("ratio", 6)), "window_start", "window_end")
 
@@ -156,11 +166,18 @@ def blackout_sessions(spark, sf_dir):
     return plain_times(out, "started_at", "last_seen_at")
 
 
-@query(_SESSIONS_SQL + " WHERE last_seen_at + INTERVAL 180 MINUTE <= (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 3 MINUTE FROM gps)")
+@query(_SESSIONS_SQL)
 def stream_blackouts(spark, sf_dir):
     root = scratch_path(spark, "blackout-stream")
-    events = b.gps_events(arriving(spark, sf_dir, "events"))
-    io.drain(io.to_files(jobs.blackout_stream(events, "180 minutes"), f"{root}/out", f"{root}/checkpoint"))
+    events = b.table(spark, sf_dir, "events")
+
+    def job(arriving):
+        # Every tenth event is half an hour late, so the watermark waits longer than that.
+        return io.to_files(jobs.blackout_stream(b.gps_events(arriving), "180 minutes", "1 hour"),
+                           f"{root}/out", f"{root}/checkpoint")
+
+    # Spark filters before it sets the watermark, so the closing event has to be of the kind that is kept.
+    io.replay(events, "ts", BATCHES, f"{root}/in", job, _closing(events, "error"))
     return plain_times(spark.read.parquet(f"{root}/out"), "started_at", "last_seen_at")
 
 
@@ -187,12 +204,21 @@ def _match_sql():
 @query(_match_sql())
 def stream_match(spark, sf_dir):
     root = scratch_path(spark, "match-stream")
-    events = arriving(spark, sf_dir, "events").select(
-        "event_id", F.col("user_id").alias("taxi_id"), F.col("ts").cast("timestamp").alias("event_time"),
-        b._lat().alias("lat"), b._lon().alias("lon"), gps.geo.grid_zone(b._lat(), b._lon()).alias("zone_id"),
-        F.when(F.col("event_type") == "error", "blackout").otherwise("moving").alias("status"),
-        (F.col("event_type") == "purchase").alias("is_request"))
-    matcher = jobs.Matcher(f"{root}/log", f"{root}/matches")
-    io.drain(io.each_batch(events, matcher.write, f"{root}/checkpoint"))
-    return spark.read.parquet(matcher.matches).select(
+    wanted = ("event_id", "user_id", "ts", "event_type")
+
+    def prepared(events):
+        return events.select(
+            "event_id", F.col("user_id").alias("taxi_id"), F.col("ts").cast("timestamp").alias("event_time"),
+            b._lat().alias("lat"), b._lon().alias("lon"), gps.geo.grid_zone(b._lat(), b._lon()).alias("zone_id"),
+            F.when(F.col("event_type") == "error", "blackout").otherwise("moving").alias("status"),
+            (F.col("event_type") == "purchase").alias("is_request"))
+
+    matcher = jobs.Matcher(f"{root}/log", f"{root}/matches", f"{root}/open")
+
+    def job(arriving):
+        return io.each_batch(prepared(arriving), matcher.write, f"{root}/checkpoint")
+
+    io.replay(b.table(spark, sf_dir, "events", *wanted), "ts", BATCHES, f"{root}/in", job)
+    matcher.close(spark, BATCHES - 1)
+    return matcher.results(spark).select(
         "request_id", "taxi_id", "taxi_zone", "ring", r6("distance_km"), r6("eta_min"))

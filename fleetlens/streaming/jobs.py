@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.operators import demand, lifecycle, match
+from fleetlens.session import materialize
+from fleetlens.streaming.io import as_messages
 
 WATERMARK = f"{K.LATENESS_MS // 1000} seconds"
 
@@ -42,9 +44,9 @@ def without_repeats(events: DataFrame, key: str = "event_id") -> DataFrame:
     return watermarked(events).dropDuplicatesWithinWatermark([key])
 
 
-def blackout_stream(events: DataFrame, gap: str = "3 minutes") -> DataFrame:
+def blackout_stream(events: DataFrame, gap: str = "3 minutes", delay: str = WATERMARK) -> DataFrame:
     """Blackout runs per vehicle, reported when they are over."""
-    return lifecycle.blackout_sessions(watermarked(events), gap)
+    return lifecycle.blackout_sessions(watermarked(events, delay), gap)
 
 
 @dataclass
@@ -70,15 +72,20 @@ class LifecycleLog:
 
 @dataclass
 class Matcher:
-    """Trip matching per micro-batch.
+    """Trip matching per micro-batch, with open requests carried over.
 
-    Pings go to a log by day, in time order; requests of the batch are matched with the pings of their time
-    span, which prunes the log to the days, and within them to the row groups, of that span. Matches are stored per batch, so a repeated batch replaces its own.
+    Pings go to a log by day, in time order. A request is matched with the pings of its time as soon as events
+    ``wait`` seconds after it have been seen, and again with every batch until it is matched or events
+    ``patience`` seconds after it have come; then it is reported without a taxi. Requests that wait or stay
+    open are kept in one folder per batch, results in another, so a repeated batch replaces its own.
     """
 
     log: str
     matches: str
+    open: str
     fresh: int = match.FRESH_SECONDS
+    wait: int = 0
+    patience: int = match.FRESH_SECONDS
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """``batch``: event_id, taxi_id, event_time, lat, lon, zone_id, status, is_request."""
@@ -94,16 +101,46 @@ class Matcher:
             "day": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
         (pings.sortWithinPartitions("day", "event_time").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(self.log))
-        requests = batch.filter("is_request").withColumnRenamed("event_id", "request_id")
-        first, last = requests.agg(F.min("event_time"), F.max("event_time")).first()
-        if first is not None:
-            self._match(requests, spark.read.schema(pings.schema).parquet(self.log), first, last, batch_id)
-
-    def _match(self, requests: DataFrame, log: DataFrame, first, last, batch_id: int) -> None:
+        asked = batch.filter("is_request").select(
+            F.col("event_id").alias("request_id"), "event_time", "lat", "lon", "zone_id")
+        if batch_id > 0:
+            asked = asked.unionByName(spark.read.schema(asked.schema).parquet(f"{self.open}/{batch_id - 1}"))
+        newest = batch.agg(F.max("event_time")).first()[0]
+        self._settle(asked, pings.schema, newest, batch_id)
+
+    def _settle(self, asked: DataFrame, ping_schema, newest, batch_id: int) -> None:
+        """Match what is due; ``newest`` is the newest event seen, null to settle everything."""
+        spark = asked.sparkSession
+        age = F.lit(0) if newest is None else F.unix_timestamp(F.lit(newest)) - F.unix_timestamp("event_time")
+        due = asked if newest is None else asked.filter(age >= self.wait)
+        first, last = due.agg(F.min("event_time"), F.max("event_time")).first()
+        target = f"{self.matches}/batch_id={batch_id}"
+        if first is None:
+            self._keep(asked, batch_id)
+            return
         early = F.lit(first) - F.make_interval(secs=F.lit(self.fresh))
-        known = log.filter(
+        known = spark.read.schema(ping_schema).parquet(self.log).filter(
             F.col("day").between(F.to_date(early), F.to_date(F.lit(last)))
             & F.col("event_time").between(early, F.lit(last)))
-        found = match.match_nearest(requests, known, self.fresh)
-        found.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{self.matches}/batch_id={batch_id}")
+        found = materialize(match.match_nearest(due, known, self.fresh), "found")
+        unmatched = asked.join(found.filter("taxi_id IS NOT NULL"), "request_id", "left_anti")
+        still = unmatched.filter(age < self.patience + self.wait) if newest is not None else unmatched.limit(0)
+        self._keep(still, batch_id)
+        settled = found.join(spark.read.schema(asked.schema).parquet(f"{self.open}/{batch_id}"), "request_id", "left_anti")
+        settled.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+
+    def _keep(self, requests: DataFrame, batch_id: int) -> None:
+        requests.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.open}/{batch_id}")
+
+    def close(self, spark: SparkSession, last_batch: int) -> None:
+        """Settle what is still open after the last batch of a replay."""
+        pings = spark.read.parquet(self.log).schema
+        asked = spark.read.parquet(f"{self.open}/{last_batch}")
+        self._settle(asked, pings, None, last_batch + 1)
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.matches).drop("batch_id")
+
+    def publish(self, spark: SparkSession) -> DataFrame:
+        """The results as keyed messages for a topic sink."""
+        return as_messages(self.results(spark), F.col("request_id"))

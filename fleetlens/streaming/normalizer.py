@@ -26,11 +26,12 @@ class LateFilter:
 
     Inside a batch the running maximum is computed in blocks (see ``ordered``), so a busy source is not
     tied to one task. Between batches one number per source is kept in a small table under ``state``,
-    one folder per batch, which makes a repeated batch see the same past.
+    one folder per batch, which makes a repeated batch see the same past. ``arrival`` orders the events within
+    ``sources``, by default the partition of the topic; an empty list says that it orders all events.
     """
 
     state: str
-    sources: list[str] = field(default_factory=list)
+    sources: list[str] = field(default_factory=lambda: ["source"])
 
     def _past(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         if batch_id == 0:

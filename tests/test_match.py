@@ -67,7 +67,9 @@ def candidates(pings, request, fresh=180):
 def test_nearest_equals_brute_force(spark, seed, crowded):
     pings, requests = city(seed, 400, 120, 40, crowded)
     p, r = frames(spark, pings, requests)
-    got = {x.request_id: (x.ring, x.taxi_id, x.taxi_zone, x.distance_km) for x in match.match_nearest(r, p).collect()}
+    got = {x.request_id: (x.ring, x.taxi_id, x.taxi_zone, x.distance_km) for x in match.match_nearest(r, p).collect()
+           if x.taxi_id is not None}
+    assert match.match_nearest(r, p).count() == len(requests)
     want = {}
     for request in requests:
         best = candidates(pings, request)
@@ -113,6 +115,6 @@ def test_same_time_pings_and_the_age_limit(spark):
     pings = [(1, 1, 100, 33.55, -7.60, "moving"), (2, 1, 100, 33.56, -7.60, "moving")]
     requests = [(1, 100, 33.55, -7.60), (2, 280, 33.55, -7.60), (3, 281, 33.55, -7.60), (4, 99, 33.55, -7.60)]
     p, r = frames(spark, pings, requests)
-    got = {x.request_id: x.distance_km for x in match.match_nearest(r, p).collect()}
+    got = {x.request_id: x.distance_km for x in match.match_nearest(r, p).collect() if x.taxi_id is not None}
     assert set(got) == {1, 2}
     assert got[1] == pytest.approx(km((33.55, -7.60), (33.56, -7.60)))

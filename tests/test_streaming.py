@@ -49,7 +49,7 @@ def test_late_rule_across_micro_batches(spark, tmp_path, sources):
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    sinks = GpsSinks(str(tmp_path / "out"), LateFilter(str(tmp_path / "seen")))
+    sinks = GpsSinks(str(tmp_path / "out"), LateFilter(str(tmp_path / "seen"), []))
     for batch_id, (i, v) in enumerate(late_messages()):
         df = normalized_stream(spark.createDataFrame([(i, v)], "arrival long, value string"), gps.GRID)
         sinks.write(df, batch_id)
@@ -142,10 +142,32 @@ def test_matching_over_several_batches(spark, tmp_path):
                  F.lit("requested").alias("status"), "event_time", "zone_id", F.lit(True).alias("is_request")))
     second = F.unix_timestamp("event_time") - 1_700_000_000
     parts = [both.filter(second.between(lo, lo + 499)) for lo in (0, 500, 1000)]
-    matcher = jobs.Matcher(str(tmp_path / "log"), str(tmp_path / "matches"))
+    matcher = jobs.Matcher(str(tmp_path / "log"), str(tmp_path / "matches"), str(tmp_path / "open"))
     io.drain(io.each_batch(as_batches(spark, tmp_path / "in", parts), matcher.write, str(tmp_path / "cp")))
+    matcher.close(spark, len(parts) - 1)
     columns = ["request_id", "taxi_id", "ring", "taxi_zone"]
-    assert rows(spark.read.parquet(str(tmp_path / "matches")), *columns) == rows(match.match_nearest(r, p), *columns)
+    assert rows(matcher.results(spark), *columns) == rows(match.match_nearest(r, p), *columns)
+    assert matcher.publish(spark).count() == r.count()
+
+
+def test_open_requests_meet_pings_that_come_a_batch_late(spark, tmp_path):
+    def events(*items):
+        return spark.createDataFrame(items, "event_id long, taxi_id long, s long, lat double, is_request boolean").select(
+            "event_id", "taxi_id", F.timestamp_seconds("s").alias("event_time"), "lat", F.lit(-7.6).alias("lon"),
+            F.lit(7).alias("zone_id"), F.lit("moving").alias("status"), "is_request")
+
+    batches = [events((1, None, T0 + 60, 33.55, True), (2, 9, T0 + 61, 33.60, False)),
+               events((3, 5, T0 + 50, 33.55, False), (4, None, T0 + 100, 33.59, True)),
+               events((5, 6, T0 + 100, 33.59, False), (6, 7, T0 + 900, 33.59, False), (7, None, T0 + 905, 10.0, True))]
+    for wait in (0, 120):
+        matcher = jobs.Matcher(*(str(tmp_path / f"{name}{wait}") for name in ("log", "matches", "open")), wait=wait)
+        for k, batch in enumerate(batches):
+            matcher.write(batch, k)
+            matcher.write(batch, k)
+        matcher.close(spark, 2)
+        got = {x.request_id: x.taxi_id for x in matcher.results(spark).collect()}
+        assert matcher.results(spark).count() == 3 and got[1] == 5 and set(got) == {1, 4, 7}
+        assert got[4] == (6 if wait else 9)  # at once the taxi known by then; the nearer one if it waits for late pings
 
 
 def test_messages_carry_their_key(spark):
