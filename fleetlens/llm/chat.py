@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.memory import tidy
+
 #: role and text of the turns so far -> text
 Template = Callable[[list[tuple[str, str]]], str]
 #: Turns of a conversation that are rendered together, and turns before them that are rendered as context.
@@ -151,7 +153,7 @@ def format_conversations(conversations: DataFrame, template: Template = inst_tem
             yield pa.RecordBatch.from_pylist(out, schema)
 
     dealt = placed.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "role", "text")
-    return dealt.mapInArrow(batches, "conv_id long, block long, n_turns long, formatted string, "
+    return dealt.mapInArrow(tidy(batches), "conv_id long, block long, n_turns long, formatted string, "
                                      "loss array<struct<start:long,end:long>>, rewrites long")
 
 
@@ -205,8 +207,8 @@ def digests(formatted: DataFrame) -> DataFrame:
         if state:
             yield pa.RecordBatch.from_pylist([*out, row()], result)
 
-    back = formatted.mapInArrow(read, "conv_id long, block long, n_turns long, turns string, learnt string, "
+    back = formatted.mapInArrow(tidy(read), "conv_id long, block long, n_turns long, turns string, learnt string, "
                                       "chars long, rewrites boolean")
     ordered = back.repartition("conv_id").sortWithinPartitions("conv_id", "block")
-    return ordered.mapInArrow(summed, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+    return ordered.mapInArrow(tidy(summed), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                       "loss_sha256 string, formatted_chars long, rewrites boolean")

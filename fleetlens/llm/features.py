@@ -5,7 +5,7 @@ Only bounded samples are fitted; counts and scores run over all rows on the exec
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.llm.memory import tidy
+
 #: Characters of an n-gram, and bits of a bucket number.
 ORDERS, BITS = (3, 4, 5), 18
 
@@ -88,20 +90,26 @@ def sampled(docs: DataFrame, most: int) -> DataFrame:
     return hashed.filter(F.col("draw") <= F.lit(least)).drop("draw") if least is not None else docs.limit(0)
 
 
-def bucket_rows(docs: DataFrame, keep: str, keep_type: str, orders: tuple[int, ...] = ORDERS,
+def bucket_rows(docs: DataFrame, target: str | Callable[[str], float], orders: tuple[int, ...] = ORDERS,
                 bits: int = BITS) -> tuple[list[np.ndarray], np.ndarray]:
-    """Buckets and column ``keep`` of each row of a bounded table with a column text, on the driver."""
+    """Buckets and target of each row of a bounded table with columns doc_id, text, on the driver.
+
+    The target is a column, or worked out from the text in the same pass, so a task needs one Python worker.
+    """
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets(orders, bits)
         for part in parts:
             found = [buckets(x).astype(np.int32) for x in code_points(part["text"])]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part[keep], pa.array(found, pa.list_(pa.int32()))],
-                                             ["doc_id", keep, "buckets"])
-
-    made = docs.select("doc_id", F.col(keep).cast(keep_type), "text") \
-        .mapInArrow(batches, f"doc_id long, {keep} {keep_type}, buckets array<int>").orderBy("doc_id").toArrow()
+            aims = part["target"] if isinstance(target, str) else pa.array(
+                [target(x or "") for x in part["text"].to_pylist()], pa.float64())
+            yield pa.RecordBatch.from_arrays([part["doc_id"], aims, pa.array(found, pa.list_(pa.int32()))],
+                                             ["doc_id", "target", "buckets"])
+
+    known = [F.col(target).cast("double").alias("target")] if isinstance(target, str) else []
+    made = docs.select("doc_id", "text", *known) \
+        .mapInArrow(tidy(batches), "doc_id long, target double, buckets array<int>").orderBy("doc_id").toArrow()
     rows = [x.values.to_numpy() for x in made["buckets"].combine_chunks()] if made.num_rows else []
-    return rows, made[keep].to_numpy().astype(float)
+    return rows, made["target"].to_numpy().astype(float)
 
 
 def scored(docs: DataFrame, weight: np.ndarray, bias: float, orders: tuple[int, ...] = ORDERS,
@@ -115,7 +123,7 @@ def scored(docs: DataFrame, weight: np.ndarray, bias: float, orders: tuple[int,
             found = [score(buckets(x), weights, start) for x in code_points(part["text"])]
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.float64())], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidy(batches), "doc_id long, score double")
 
 
 def score(bucket: np.ndarray, weight: np.ndarray, bias: float) -> float:

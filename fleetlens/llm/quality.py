@@ -12,11 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import features
+from fleetlens.llm.memory import tidy
 from fleetlens.llm.text import picked
 
 #: Documents at most that the linear scorer is fitted on.
@@ -62,7 +62,7 @@ def vote_patterns(docs: DataFrame) -> DataFrame:
             found = ["".join(map(str, votes(x or ""))) for x in part["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.string())], ["doc_id", "pattern"])
 
-    return docs.select("doc_id", "text").mapInArrow(batches, "doc_id long, pattern string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(batches), "doc_id long, pattern string")
 
 
 def weigh(patterns: dict[str, int], rounds: int = 200) -> tuple[dict[str, float], np.ndarray]:
@@ -113,15 +113,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
               vote_patterns(table).groupBy("pattern").count().collect()}
     posterior, labellers = weigh(counts)
 
-    def with_target(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            found = [posterior.get("".join(map(str, votes(x or ""))), 0.5) for x in part["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pc.fill_null(part["text"], ""), pa.array(found, pa.float64())],
-                                             ["doc_id", "text", "good"])
+    def good(text: str) -> float:
+        return posterior.get("".join(map(str, votes(text))), 0.5)
 
-    few = features.sampled(table, sample).select("doc_id", "text") \
-        .mapInArrow(with_target, "doc_id long, text string, good double")
-    rows, target = features.bucket_rows(few, "good", "double")
+    rows, target = features.bucket_rows(features.sampled(table, sample), good)
     return Model(*features.fit(rows, target, np.ones(1 << features.BITS)), posterior, labellers)
 
 
@@ -145,4 +140,4 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFram
             good = [features.score(buckets(x), weight, bias) >= 0.5 for x in features.code_points(part.column(at))]
             yield part.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(batches, docs.schema)
+    return docs.mapInArrow(tidy(batches), docs.schema)

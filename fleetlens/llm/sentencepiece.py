@@ -18,13 +18,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.llm.memory import tidy
+
 #: Fixed values of the model format: the marker of a space, kinds of pieces, and the score below the least
 #: piece that an unknown character gets.
 MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 #: Cells (cuts x bytes) that are encoded together, which bounds the memory of a task.
-CELLS = 1 << 21
+CELLS = 1 << 20
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -273,7 +275,7 @@ class Model:
 
 
 #: Cuts a task remembers before it starts anew.
-MEMORY = 1_000_000
+MEMORY = 250_000
 
 
 def load(path: str) -> Model:
@@ -311,8 +313,8 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         is_byte = model.kinds == BYTE
         memory = Memory()
         for part in parts:
-            for first in range(0, part.num_rows, 1024):
-                piece = part.slice(first, 1024)
+            for first in range(0, part.num_rows, 512):
+                piece = part.slice(first, 512)
                 texts = piece["text"].to_pylist()
                 rows = []
                 for doc_id, text, ids in zip(piece["doc_id"].to_pylist(), texts, model.encode(texts, memory), strict=True):
@@ -323,7 +325,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     memory = Memory()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(batches, "doc_id long, ids array<int>, n_tokens long, n_bytes long, round_trip boolean"
+        .mapInArrow(tidy(batches), "doc_id long, ids array<int>, n_tokens long, n_bytes long, round_trip boolean"
                     + ", decoded string" * with_text)
 
 
@@ -338,4 +340,4 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")) \
-        .mapInArrow(batches, "doc_id long, text string")
+        .mapInArrow(tidy(batches), "doc_id long, text string")

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.components import components
+from fleetlens.llm.memory import tidy
 from fleetlens.llm.text import picked
 from fleetlens.session import materialize
 
@@ -65,7 +66,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             prints = _fingerprints(part["text"].cast(pa.large_string()), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(prints)], ["doc_id", "print"])
 
-    return picked(docs, id_col, text_col).mapInArrow(batches, "doc_id long, print long")
+    return picked(docs, id_col, text_col).mapInArrow(tidy(batches), "doc_id long, print long")
 
 
 def _variants(prints: DataFrame) -> DataFrame:
@@ -162,7 +163,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     met = _variants(prints.select("print")).repartition("mask", "variant").sortWithinPartitions("mask", "variant")
-    return met.mapInArrow(batches, "a long, b long").distinct()
+    return met.mapInArrow(tidy(batches), "a long, b long").distinct()
 
 
 def _then_end(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm import features
+from fleetlens.llm.memory import tidy
 from fleetlens.llm.text import picked
 
 #: Labelled rows at most that the linear classifier is fitted on; the ratios count all labelled rows.
@@ -46,7 +47,7 @@ def _counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(counts[0][found]),
                                           pa.array(counts[1][found])], ["bucket", "clean", "toxic"])
 
-    table = labelled.select("label", "text").mapInArrow(batches, "bucket long, clean long, toxic long") \
+    table = labelled.select("label", "text").mapInArrow(tidy(batches), "bucket long, clean long, toxic long") \
         .groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
     out = np.zeros((2, 1 << features.BITS))
     at = table["bucket"].to_numpy()
@@ -66,7 +67,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = _labelled(picked(docs, id_col, text_col), marks)
     clean, toxic = (x + SMOOTHING for x in _counts(labelled))
     ratio = np.log((toxic / toxic.sum()) / (clean / clean.sum()))
-    rows, target = features.bucket_rows(features.sampled(labelled, sample), "label", "int")
+    rows, target = features.bucket_rows(features.sampled(labelled, sample), "label")
     return Model(*features.fit(rows, target, ratio))
 
 

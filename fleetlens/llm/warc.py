@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.llm.memory import tidy
+
 SMALLEST_REVISIT = 1000
 RECORDS_PER_FILE = 2000
 #: Fixed values of the format.
@@ -81,7 +83,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     records = _records(pages, id_col, url_col, html_col, date)
     if compress:  # the writer puts the bytes of the value as they are
-        records = records.mapInArrow(members, "value binary").select(F.col("value").cast("string").alias("value"))
+        records = records.mapInArrow(tidy(members), "value binary").select(F.col("value").cast("string").alias("value"))
     records.write.option("lineSep", END.decode()) \
         .option("maxRecordsPerFile", records_per_file).text(path)
 
@@ -210,4 +212,4 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInArrow(batches, columns + ", payload binary" * payloads)
+    return files.mapInArrow(tidy(batches), columns + ", payload binary" * payloads)
