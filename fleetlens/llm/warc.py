@@ -23,8 +23,9 @@ RECORDS_PER_FILE = 2000
 VERSION, END, MEMBER = b"WARC/1.", b"\r\n\r\n", b"\x1f\x8b\x08"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-#: A header block longer than this counts as damaged.
-LONGEST_HEADER = 1 << 16
+VERSION_LINE = re.compile(rb"WARC/1\.\d+\r\n")
+#: The one field that may stand in a header more than once.
+REPEATABLE = "warc-concurrent-to"
 
 
 def _records(pages: DataFrame, id_col: str, url_col: str, html_col: str, date: str) -> DataFrame:
@@ -88,31 +89,46 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         .option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def _parse(data: bytes | memoryview, at: int, last: bool) -> tuple[dict, bytes, int] | str:
+def _names(lines: bytes) -> set[str]:
+    return {x.partition(":")[0].strip().lower() for x in lines.decode("utf-8", "replace").split("\r\n") if ":" in x}
+
+
+def _runs_on(head: bytes) -> bool:
+    """Whether a header was cut off and runs into that of another record.
+
+    A version line may also end the value of a field, as that of an URL. It begins another record if what stands
+    before it in its line is no field, or if a field stands on both sides of it.
+    """
+    for inner in VERSION_LINE.finditer(head, 1):
+        before, after = head[:inner.start()], head[inner.end():]
+        if b":" not in before[before.rfind(b"\r\n") + 2:] or _names(before) & _names(after) - {REPEATABLE}:
+            return True
+    return False
+
+
+def _parse(data: bytes, at: int, last: bool) -> tuple[dict, bytes, int] | str:
     """Fields, block and end of the plain record at ``at``; or what is wrong with it."""
-    head = bytes(data[at:at + LONGEST_HEADER])
-    if not head.startswith(VERSION):
+    if not VERSION_LINE.match(data, at):
         return "no version line"
-    stop = head.find(END)
+    stop = data.find(END, at)
     if stop < 0:
         return "no end of the header"
-    lines = head[:stop].decode("utf-8", "replace").split("\r\n")
+    head = data[at:stop + 2]
+    lines = head.decode("utf-8", "replace").split("\r\n")
     fields = {k.strip().lower(): v.strip() for k, colon, v in (x.partition(":") for x in lines[1:]) if colon}
     if not fields.get("content-length", "").isdigit():
         return "no content length"
-    start = at + stop + len(END)
+    start = stop + len(END)
     end = start + int(fields["content-length"])
-    if bytes(data[end:end + len(END)]) != END and not (last and end == len(data)):
+    if data[end:end + len(END)] != END and not (last and end == len(data)):
         return "block does not end where it should"
-    block = bytes(data[start:end])
+    block = data[start:end]
     digest = fields.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest[5:].lower() != hashlib.sha1(block).hexdigest():
         return "block digest differs"
-    end = min(end + len(END), len(data))
-    inner = head.find(VERSION, 1, stop)  # the header of a record that was cut off may run into the next one
-    if inner > 0 and not isinstance(_parse(data, at + inner, last), str):
+    if _runs_on(head):
         return "another record begins in the header"
-    return fields, block, end
+    return fields, block, min(end + len(END), len(data))
 
 
 def _member(data: memoryview, at: int) -> tuple[bytes, int] | str:
@@ -140,7 +156,7 @@ def _record(data: bytes, view: memoryview, at: int) -> tuple[dict, bytes, int] |
         if isinstance(inner, str):
             return inner
         return (inner[0], inner[1], end) if inner[2] == len(content) else "member holds more than a record"
-    return _parse(view, at, last=False)
+    return _parse(data, at, last=False)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:

@@ -4,11 +4,14 @@ import gzip
 import hashlib
 import json
 import random
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, warc
+from check_oracle import normal
+from fleetlens.llm import chat, queries, warc
 
 PAGES = "page_id long, url string, html string"
 
@@ -89,6 +92,38 @@ def test_damaged_archive_is_logged(spark, tmp_path):
     assert gap["offset"] == len(b"".join(parts[:3])) and gap["length"] == 200 and gap["reason"]
 
 
+URLS = ["http://host/WARC/1.0/spec", "http://host/WARC/1.0", "WARC/1.1\r\nWARC/1.0\r\n", "data:," + "x" * 70_000,
+        "data:," + "WARC/1.0 " * 30_000]
+
+
+@pytest.mark.parametrize("compress", [False, True])
+def test_any_url_is_read_back(spark, tmp_path, compress):
+    pages = spark.createDataFrame([(k, url, f"page {k}") for k, url in enumerate(URLS)], PAGES)
+    path = str(tmp_path / "archives")
+    warc.write_archives(pages, path, compress=compress)
+    got = {r["record_id"]: r for r in warc.read_archives(spark, path).collect()}
+    assert sorted(got) == [str(k) for k in range(len(URLS))]
+    for k, url in enumerate(URLS):
+        assert got[str(k)]["url"] == re.sub("[\r\n]+", " ", url).strip() and got[str(k)]["payload"].decode() == f"page {k}"
+
+
+def test_odd_urls_through_the_query(spark, tmp_path):
+    rows = [(k, url, html * 500) for k, url in enumerate(URLS) for html in ("x", f"own {k}")]
+    spark.createDataFrame(rows, PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = normal(queries.op7_warc(spark, str(tmp_path)).toPandas())
+    assert len(got) == len(rows) and got.equals(normal(con.execute(queries.OP7_SQL).df()))
+
+
+@pytest.mark.parametrize("cut", [3, 10, 16, 24, 60, 120, 200])
+def test_cut_header_before_an_url_with_a_version(cut):
+    url = "WARC-Target-URI: http://host/WARC/1.0\r\n"
+    first, second = record(1, "one", extra=url), record(2, "two", extra=url)
+    found = list(warc.salvage(first[:cut] + second))
+    assert [(at, f and f["warc-record-id"]) for at, _, f, _, _ in found] == [(0, None), (cut, "<urn:page:2>")]
+
+
 def test_empty_archives(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(spark.createDataFrame([], PAGES), path)
