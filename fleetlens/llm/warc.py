@@ -6,6 +6,7 @@ compressed member that passes all checks, goes on there, and logs the bytes betw
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -89,6 +90,17 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
         .option("maxRecordsPerFile", records_per_file).text(path)
 
 
+def _sha1(digest: str) -> bytes | None:
+    """The SHA-1 that a header states in 40 hex digits or 32 base32 characters; None for any other form."""
+    name, _, value = digest.partition(":")
+    try:
+        if name.lower() == "sha1" and len(value) in (32, 40):
+            return bytes.fromhex(value) if len(value) == 40 else base64.b32decode(value, casefold=True)
+    except ValueError:
+        pass
+    return None
+
+
 def _names(lines: bytes) -> set[str]:
     return {x.partition(":")[0].strip().lower() for x in lines.decode("utf-8", "replace").split("\r\n") if ":" in x}
 
@@ -123,8 +135,8 @@ def _parse(data: bytes, at: int, last: bool) -> tuple[dict, bytes, int] | str:
     if data[end:end + len(END)] != END and not (last and end == len(data)):
         return "block does not end where it should"
     block = data[start:end]
-    digest = fields.get("warc-block-digest", "")
-    if digest.startswith("sha1:") and digest[5:].lower() != hashlib.sha1(block).hexdigest():
+    digest = _sha1(fields.get("warc-block-digest", ""))
+    if digest and digest != hashlib.sha1(block).digest():
         return "block digest differs"
     if _runs_on(head):
         return "another record begins in the header"
@@ -185,11 +197,13 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Records and gaps of all archives in ``path``, one row each.
+    """Records and gaps of all archives in ``path`` and folders below, one row each.
 
     file, offset, length, status (record or gap), reason (of a gap), record_type, record_id, refers_to, url,
     payload_digest, payload_bytes, and payload if ``payloads``. A response whose payload does not have the
-    digest its header states is a gap too. Empty folders and files give no rows.
+    digest its header states is a gap too. Digests are SHA-1 in hex or base32; others are not checked.
+    ``payload_digest`` is SHA-1 in hex; a revisit's stated digest of another form stays as it is. Files and
+    folders whose names start with _ or . are left out. Empty folders and files give no rows.
     """
     columns = ("file string, offset long, length long, status string, reason string, record_type string, "
                "record_id string, refers_to string, url string, payload_digest string, payload_bytes long")
@@ -199,14 +213,16 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         if fields is not None:
             kind = fields.get("warc-type", "")
             body = block.partition(END)[2] if "application/http" in fields.get("content-type", "") else block
-            digest = fields.get("warc-payload-digest", "").removeprefix("sha1:").lower()
+            digest = fields.get("warc-payload-digest", "")
+            sha1 = _sha1(digest)
+            digest = sha1.hex() if sha1 else digest
             size = int(fields["warc-payload-length"]) if fields.get("warc-payload-length", "").isdigit() else None
             if kind == "revisit":
                 body = None
-            elif digest and hashlib.sha1(body).hexdigest() != digest:
+            elif sha1 and hashlib.sha1(body).digest() != sha1:
                 fields, why = None, "payload digest differs"
             else:
-                digest, size = digest or hashlib.sha1(body).hexdigest(), len(body)
+                digest, size = hashlib.sha1(body).hexdigest(), len(body)
         if fields is None:
             return (file, offset, length, "gap", why, *[None] * 7)
         ids = [m[1] if (m := named.fullmatch(fields.get(k, ""))) else fields.get(k)
@@ -227,5 +243,5 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     return files.mapInArrow(tidy(batches), columns + ", payload binary" * payloads)

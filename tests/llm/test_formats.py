@@ -1,5 +1,6 @@
 """WARC archives and chat formatting: round trips, damage, odd rows."""
 
+import base64
 import gzip
 import hashlib
 import json
@@ -124,6 +125,26 @@ def test_cut_header_before_an_url_with_a_version(cut):
     assert [(at, f and f["warc-record-id"]) for at, _, f, _, _ in found] == [(0, None), (cut, "<urn:page:2>")]
 
 
+def in_base32(part):
+    return re.sub(rb"sha1:([0-9a-f]{40})", lambda m: b"sha1:" + base64.b32encode(bytes.fromhex(m[1].decode())), part)
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    parts = [in_base32(record(k, f"page {k}")) for k in range(4)] + [record(4, "page 4").replace(b"sha1:", b"sha256:")]
+    parts.append(in_base32(record(5, "page 5")).replace(b"page 5", b"page x"))  # damaged
+    (tmp_path / "below").mkdir()
+    (tmp_path / "crawl.warc.gz").write_bytes(b"".join(gzip.compress(p, mtime=0) for p in parts))
+    (tmp_path / "below" / "crawl.warc").write_bytes(in_base32(record(6, "page 6")).lower().replace(b"warc/1.0", b"WARC/1.0", 1)
+                                                    .replace(b"http/1.1 200 ok", b"HTTP/1.1 200 OK")
+                                                    .replace(b"content-type: text", b"Content-Type: text"))
+    (tmp_path / "_SUCCESS").write_bytes(b"x")
+    (tmp_path / ".crawl.warc.crc").write_bytes(b"x")
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert {r["record_id"]: (r["payload"].decode(), r["payload_digest"]) for r in got if r["status"] == "record"} == {
+        str(k): (f"page {k}", hashlib.sha1(f"page {k}".encode()).hexdigest()) for k in (0, 1, 2, 3, 4, 6)}
+    assert [r["reason"] for r in got if r["status"] == "gap"] == ["block digest differs"]
+
+
 def test_empty_archives(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write_archives(spark.createDataFrame([], PAGES), path)
