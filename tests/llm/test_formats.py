@@ -210,3 +210,50 @@ def test_rewriting_is_detected(spark):
     rows = [(1, n, role, text) for n, (role, text) in enumerate(turns)] + [(2, 0, "user", "fine")]
     got = chat.format_conversations(spark.createDataFrame(rows, CONV), last_thought_only).collect()
     assert {r["conv_id"]: r["rewrites"] for r in got} == {1: 2, 2: None}
+
+
+def templates():
+    """By name; local functions, which workers get by value."""
+    def once_marked(turns):
+        return "<s>" + "".join(f"|{r}:{t}" for r, t in turns)
+
+    def system_moved(turns):
+        """The system text stands before the last user turn."""
+        system = "".join(t for r, t in turns if r == "system")
+        users = [n for n, (r, _) in enumerate(turns) if r == "user"] or [-1]
+        return "".join(f"|{system if n == users[-1] else ''}{r}:{t}" for n, (r, t) in enumerate(turns) if r != "system")
+
+    def system_everywhere(turns):
+        return "".join(f"|{turns[0][1]}>{r}:{t}" for r, t in turns)
+
+    def numbered_turns(turns):
+        return "".join(f"|{n}>{r}:{t}" for n, (r, t) in enumerate(turns))
+
+    def strict_roles(turns):
+        for n, (r, _) in enumerate(turns):
+            if r != ("system", "user", "assistant")[0 if n == 0 else 1 + (n - 1) % 2]:
+                raise ValueError("roles must alternate")
+        return once_marked(turns)
+
+    return {f.__name__: f for f in (once_marked, system_moved, system_everywhere, numbered_turns, strict_roles, chat.inst_template)}
+
+
+@pytest.mark.parametrize("name", templates())
+@pytest.mark.parametrize("step", [1, 300])
+def test_long_and_sparse_conversations(spark, name, step):
+    template = templates()[name]
+    talks = {k: [("system", f"rule {k}")] + [(("user", "assistant")[n % 2], f"text {n}") for n in range(size)]
+             for k, size in ((1, 2), (2, 299), (None, 520))}
+    rows = [(k, step * n - 900, role, text) for k, turns in talks.items() for n, (role, text) in enumerate(turns)]
+    random.Random(4).shuffle(rows)
+    got = chat.format_conversations(spark.createDataFrame(rows, CONV), template).orderBy("block").collect()
+    in_blocks = name in ("once_marked", "inst_template")
+    for k, turns in talks.items():
+        made = [r for r in got if r["conv_id"] == k]
+        assert [r["n_turns"] for r in made] == ([min(256, len(turns) - at) for at in range(0, len(turns), 256)] if in_blocks else [len(turns)])
+        assert [r["whole"] for r in made] == [n == 0 for n in range(len(made))]
+        assert "".join(r["formatted"] for r in made) == template(turns)
+        rewrites = 3 if name == "system_moved" and len(turns) > 3 else None
+        assert {r["rewrites"] for r in made} == {rewrites}
+        learnt = [r["formatted"][s["start"]:s["end"]] for r in made for s in r["loss"]]
+        assert learnt == ([] if rewrites else [t for role, t in turns if role == "assistant"])
