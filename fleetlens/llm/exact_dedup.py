@@ -39,13 +39,13 @@ def _clashes(cut: DataFrame, identifier: Callable[[Column], Column]) -> DataFram
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 identifier: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+                 identifier: Callable[[Column], Column] = F.xxhash64, every_row: bool = False) -> DataFrame:
+    """One row per document, or per row of ``docs`` if ``every_row``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z. The row with the largest id of equal texts stays.
     A null text counts as empty. A null id ranks below every other and stays only if all ids of its group are
-    null. Rows that repeat both id and normalised text are one document. Other columns are ignored.
-    ``identifier`` names chunks; clashes of names are found and resolved by content.
+    null. Rows that repeat both id and normalised text are one document; with ``every_row`` each of them comes
+    back and counts in group_size. Other columns are ignored. ``identifier`` names chunks; clashes of names are found and resolved by content.
     """
     norm = picked(docs, id_col, text_col).select("doc_id", lower_ascii(F.col("text")).alias("norm"))
     cut = norm.select("doc_id", F.sha2("norm", 256).alias("text_sha256"), chunks(F.col("norm")).alias("chunks"))
@@ -62,7 +62,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         recipes = recipes.join(marks, F.col("doc_id").eqNullSafe(F.col("mark_id"))
                                & (F.col("text_sha256") == F.col("mark_sha")), "left") \
             .select("doc_id", "text_sha256", F.struct("recipe", "contents").alias("recipe"))
-    recipes = recipes.dropDuplicates(["doc_id", "recipe"])
+    if not every_row:
+        recipes = recipes.dropDuplicates(["doc_id", "recipe"])
     groups = recipes.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")) \
         .filter("group_size > 1")
     # A group of copies may be a large part of all rows: each row joins one of SALTS copies of its group.

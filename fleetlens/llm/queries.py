@@ -28,7 +28,7 @@ FROM n WINDOW w AS (PARTITION BY t)
 
 @query(sql=OP1_SQL)
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), every_row=True)
 
 
 OP8_SQL = rf"""

@@ -2,12 +2,14 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlens.llm import decontaminate, exact_dedup
+from check_oracle import normal
+from fleetlens.llm import decontaminate, exact_dedup, queries
 
 DOCS = "doc_id long, text string, lang string"
 
@@ -40,6 +42,23 @@ def test_exact_groups(spark, identifier):
     assert sorted(map(tuple, got), key=str) == groups_of(rows)
 
 
+@pytest.mark.parametrize("identifier", [F.xxhash64, lambda c: F.pmod(F.xxhash64(c), F.lit(3))], ids=["hash", "clashing"])
+def test_exact_groups_of_every_row(spark, identifier):
+    rows = TEXTS + TEXTS[:3] + [TEXTS[6]] * 40
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, DOCS), identifier=identifier, every_row=True).collect()
+    size = Counter(lower(text) for _, text, _ in rows)
+    of = {i: (keep, kept, sha) for i, keep, _, kept, sha in groups_of(rows)}
+    assert sorted(map(tuple, got)) == sorted((i, of[i][0], size[lower(text)], *of[i][1:]) for i, text, _ in rows)
+
+
+def test_repeated_rows_through_the_query(spark, tmp_path):
+    spark.createDataFrame(TEXTS + TEXTS[:3], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = normal(queries.op1_exact_dedup(spark, str(tmp_path)).toPandas())
+    assert len(got) == len(TEXTS) + 3 and got.equals(normal(con.execute(queries.OP1_SQL).df()))
+
+
 def test_exact_groups_of_nothing(spark):
     docs = spark.createDataFrame([], DOCS)
     assert exact_dedup.exact_groups(docs).count() == 0
