@@ -55,8 +55,8 @@ def _fingerprints(texts: pa.Array, shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, print (the 64-bit fingerprint as a signed long) for each row.
+                 shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """doc_id, print (the 64-bit fingerprint as a signed long) for each row; ``keyed`` adds text_key, a hash of the text.
 
     Words are runs of other than white space after lower-casing A-Z. Fewer words than a shingle are one
     shingle; null, empty and blank texts have fingerprint zero.
@@ -64,9 +64,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             prints = _fingerprints(part["text"].cast(pa.large_string()), shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(prints)], ["doc_id", "print"])
+            more = ["text_key"] * keyed
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(prints), *map(part.column, more)], ["doc_id", "print", *more])
 
-    return picked(docs, id_col, text_col).mapInArrow(tidy(batches), "doc_id long, print long")
+    plain = picked(docs, id_col, text_col)
+    if keyed:
+        plain = plain.withColumn("text_key", F.xxhash64("text"))
+    return plain.mapInArrow(tidy(batches), "doc_id long, print long" + ", text_key long" * keyed)
 
 
 def _variants(prints: DataFrame) -> DataFrame:
@@ -171,6 +175,14 @@ def _then_end(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
     yield None
 
 
+def _rooted(printed: DataFrame, least: Column, distance: int) -> DataFrame:
+    """print, least (of its rows), root (one print of its component) for each distinct print."""
+    classes = materialize(printed.groupBy("print").agg(least.alias("least")), "fingerprint-classes")
+    roots = components(links(classes, distance))
+    return classes.join(roots, classes["print"] == roots["node"], "left") \
+        .select("print", "least", F.coalesce("root", "print").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable over links) for each row.
@@ -180,11 +192,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     there. Other columns are ignored.
     """
     printed = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    classes = materialize(printed.groupBy("print").agg(F.min("doc_id").alias("least_id")), "fingerprint-classes")
-    roots = components(links(classes, distance))
-    rooted = classes.join(roots, classes["print"] == roots["node"], "left") \
-        .select("print", "least_id", F.coalesce("root", "print").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    rooted = _rooted(printed, F.min("doc_id"), distance)
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = rooted.join(named, "root").select("print", "component_id")
     return printed.join(of_print, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -194,11 +203,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
              distance: int = DISTANCE) -> DataFrame:
     """Of each group the row with the least id, with all its columns.
 
-    One row of those that repeat this id stays. Rows with a null id all stay, as they cannot be told apart.
+    Rows are told apart by id and a 64-bit hash of the text: of rows that share the least id of their group the
+    one with the least hash stays, and one of those that repeat id and text. A null id ranks above every other.
     """
-    groups = simhash_groups(docs, id_col, text_col, shingle, distance)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__id"))
-    of_id = F.col(id_col).cast("long")
-    named = docs.filter(of_id.isNotNull()).withColumn("__row", of_id) \
-        .join(kept, F.col("__row") == F.col("__id"), "left_semi").dropDuplicates(["__row"]).drop("__row")
-    return named.unionAll(docs.filter(of_id.isNull()))
+    printed = materialize(fingerprints(docs, id_col, text_col, shingle, keyed=True), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    kept = _rooted(printed, F.min(row), distance).groupBy("root").agg(F.min("least").alias("least")) \
+        .select(F.col("least.doc_id").alias("__id"), F.col("least.text_key").alias("__key"))
+    keyed = docs.withColumns({"__row": F.col(id_col).cast("long"), "__text": F.xxhash64(F.col(text_col).cast("string"))})
+    return keyed.join(kept, F.col("__row").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")), "left_semi") \
+        .dropDuplicates(["__row", "__text"]).drop("__row", "__text")

@@ -97,6 +97,15 @@ def test_simhash_keeps_one(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "9", "None"]
 
 
+def test_simhash_keeps_one_where_ids_repeat_or_lack(spark):
+    base = [" ".join(f"{name}{i}" for i in range(300)) for name in "abcd"]
+    rows = [(1, base[0], 1), (1, base[1], 2), (2, base[1].upper(), 3), (1, base[0], 4), (None, base[2], 5), (None, base[2].upper(), 6),
+            (None, base[3], 7), (3, base[3].upper(), 8), (None, None, 9), (None, "", 10)]
+    kept = [r["text"] for r in simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()]
+    assert sorted((t or "").lower() for t in kept) == sorted(["", *base])
+    assert base[1] in kept and base[3].upper() in kept
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 200), (7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
