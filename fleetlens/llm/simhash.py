@@ -73,11 +73,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return plain.mapInArrow(tidy(batches), "doc_id long, print long" + ", text_key long" * keyed)
 
 
+def signed(value: int) -> int:
+    return value - (1 << BITS) if value >> (BITS - 1) else value
+
+
+def _one_flip(prints: DataFrame) -> DataFrame:
+    """mask (0), variant, print: each print with at most one of its bits flipped."""
+    flips = F.array(*[F.lit(signed(f)) for f in (0, *(1 << bit for bit in range(BITS)))])
+    return prints.select(F.lit(0).cast("byte").alias("mask"), F.explode(F.transform(
+        flips, lambda f: F.col("print").bitwiseXOR(f))).alias("variant"), "print")
+
+
 def _variants(prints: DataFrame) -> DataFrame:
     """mask, variant, print: each print with one group masked out and at most one of the other bits flipped."""
-    def signed(value: int) -> int:
-        return value - (1 << BITS) if value >> (BITS - 1) else value
-
     def masked_out(mask: int) -> Column:
         masked = ((1 << GROUP_BITS) - 1) << (mask * GROUP_BITS)
         flips = [0, *(1 << bit for bit in range(BITS) if not masked >> bit & 1)]
@@ -113,6 +121,23 @@ def _star(meeting: np.ndarray, value: np.ndarray, member: np.ndarray, near: np.n
     return centre[linked], member[linked]
 
 
+def _balls(mask: np.ndarray, variant: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links at distance 1 or 2 among the prints that are one flip at most from each variant; rows come sorted by it.
+
+    Two such prints differ in two bits at most, so at distance 2 all link with the least of them; at distance 1
+    they link with the print that is the variant itself, if it is there.
+    """
+    start = np.flatnonzero(np.concatenate([[True], variant[1:] != variant[:-1]]))
+    size = np.diff(np.append(start, len(variant)))
+    if distance == 2:
+        centre, linked = np.repeat(np.minimum.reduceat(prints, start), size), True
+    else:
+        centre, linked = variant, np.repeat(np.logical_or.reduceat(prints == variant, start), size)
+    at = linked & (prints != centre)
+    pairs = np.unique(np.sort(np.stack([prints[at], centre[at]], axis=1), axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
 def _stars(mask: np.ndarray, variant: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among the prints that meet in each variant; rows come sorted by mask and variant.
 
@@ -147,10 +172,13 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """a, b: links between distinct fingerprints (column ``print``) that differ in at most ``distance`` bits.
 
     Any two such fingerprints are connected by these links, directly or through others. ``distance`` is 3 at
-    most. Links are checked against the distance.
+    most. Distances of 1 and 2 need no masks: two such prints meet in a print one flip at most from both.
     """
     if not 0 <= distance <= DISTANCE:
         raise ValueError(f"distance must be 0 to {DISTANCE}")
+    found = _stars if distance == DISTANCE else _balls
+    if distance == 0:
+        return prints.limit(0).select(F.col("print").alias("a"), F.col("print").alias("b"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.empty(0, np.int8), np.empty(0, np.int64), np.empty(0, np.int64)]
@@ -163,10 +191,10 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 cut = int(last[-1]) + 1 if len(last) else 0  # the last meeting may go on in the next batch
                 done, rest = [x[:cut] for x in rows], [x[cut:] for x in rows]
             if len(done[0]):
-                a, b = _stars(*done, distance)
+                a, b = found(*done, distance)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    met = _variants(prints.select("print")).repartition("mask", "variant").sortWithinPartitions("mask", "variant")
+    met = (_variants if distance == DISTANCE else _one_flip)(prints.select("print")).repartition("mask", "variant").sortWithinPartitions("mask", "variant")
     return met.mapInArrow(tidy(batches), "a long, b long").distinct()
 
 

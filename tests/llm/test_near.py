@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -82,6 +83,24 @@ def test_links_connect_all_near_prints(spark):
     assert classes(sorted(prints), lambda a, b: (a, b) in unsigned or (b, a) in unsigned) == near
 
 
+@pytest.mark.parametrize("distance", [0, 1, 2])
+def test_links_at_smaller_distances(spark, distance):
+    draw = random.Random(6)
+    centre = draw.getrandbits(64)
+    prints = {0, 1, (1 << 64) - 1}
+    while len(prints) < 600:  # crowds whose members are one to six bits apart, with and without their centre
+        x = centre ^ (draw.getrandbits(3) << 40)
+        for bit in draw.sample(range(64), draw.randrange(1, 4)):
+            x ^= 1 << bit
+        prints.add(x)
+    numbers = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    links = simhash.links(spark.createDataFrame(numbers, "print long"), distance).collect()
+    linked = {tuple(sorted(x & (1 << 64) - 1 for x in pair)) for pair in links}
+    assert all((a ^ b).bit_count() <= distance for a, b in linked)
+    near = classes(sorted(prints), lambda a, b: (a ^ b).bit_count() <= distance)
+    assert classes(sorted(prints), lambda a, b: (a, b) in linked) == near
+
+
 def test_simhash_of_nothing(spark):
     docs = spark.createDataFrame([], DOCS)
     assert simhash.simhash_groups(docs).count() == 0
