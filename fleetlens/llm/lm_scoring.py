@@ -3,8 +3,9 @@
 Training counts are gathered from the whole corpus, sharded by context. A shard keeps its n-grams in a trie
 of monotone sequences: contexts, pointers to the first successor of each, and successors whose numbers are
 relative to their context, all in Elias-Fano code, with a quantised smoothed probability for each successor.
-The levels lie in one file that the task maps into memory; an n-gram is found by a successor search among
-the numbers relative to its context. Documents are scored in blocks that ask once for each distinct n-gram.
+The levels lie in one file that the task maps into memory. Before the look-up they are decoded into plain arrays,
+on which an n-gram is found by a successor search among the numbers relative to its context; only the codes of
+the probabilities stay mapped. Single words are neither in a trie nor quantised. Documents are scored in blocks that ask once for each distinct n-gram.
 """
 
 from __future__ import annotations
