@@ -302,7 +302,8 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     ``round_trip``: decoding the ids gives the text back, which fails only where the normalisation itself loses
     something (a marker character in the text, or spaces if the model removes extra ones). Null and empty texts
     have no ids. Rows, also repeated ones and those with a null id, come back one for one; other columns are
-    ignored. ``with_text`` adds ``decoded``.
+    ignored. ``with_text`` adds ``decoded``. Only models without a precompiled character map are supported; most
+    published unigram models have one (nmt_nfkc), and are refused with an error.
     """
     shared = _shared(load(model_path), docs.sparkSession)
     names = ["doc_id", "ids", "n_tokens", "n_bytes", "round_trip"] + ["decoded"] * with_text
