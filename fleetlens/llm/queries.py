@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm import chat, decontaminate, exact_dedup, lm_scoring, quality, sentencepiece, simhash, substring_dedup, toxicity, warc
+from fleetlens.llm import (
+    chat, decontaminate, divergence, exact_dedup, lm_scoring, minhash, quality, sentencepiece, simhash, spelling,
+    substring_dedup, toxicity, warc)
 from fleetlens.plans.registry import query
 from fleetlens.session import scratch_path
 
@@ -166,3 +168,59 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm_scoring.score_documents(_table(spark, sf_dir, "documents"), ~held_out)
     return scored.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(LOWERED, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 3), ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS s FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (t) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id,
+       w.doc_id <= coalesce(m, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least ON least.a = w.doc_id
+""".replace("LOWERED", _LOWER)
+
+
+@query(sql=OP11_SQL)
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_groups(_table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+             LOWERED, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+occ AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM occ GROUP BY ALL HAVING count(DISTINCT k) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM occ JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0)::BIGINT AS total
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+      LEFT JOIN (SELECT lang, source, sum(c) AS total FROM c GROUP BY ALL) USING (lang, source)),
+p AS (SELECT lang, source, term, coalesce(c, 0) AS c, 1 + (1000000000 * (coalesce(c, 0) + 5)) // (total + 5 * v) AS p
+      FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (1000000000 * (sum(c)::BIGINT + 5)) // (any_value(total) + 5 * any_value(v)) AS q
+      FROM p JOIN (SELECT lang, sum(total)::BIGINT AS total, any_value(v) AS v FROM g GROUP BY lang) USING (lang) GROUP BY ALL),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(d, 0)::BIGINT AS value
+          FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+          LEFT JOIN (SELECT a.lang, a.source AS s, b.source AS t, sum(abs(a.p - b.p)) AS d
+                     FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term GROUP BY ALL) z
+            ON z.lang = x.lang AND z.s = x.source AND z.t = y.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 50
+""".replace("LOWERED", _LOWER)
+
+
+@query(sql=OP12_SQL)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"), misprints=97)
