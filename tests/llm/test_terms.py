@@ -145,7 +145,7 @@ def letters():
     weights = [1 + 40 // (1 + k % 30) for k in range(len(stems))]
     rows = [(k, draw.choice((" ", "-1", "€")).join(draw.choices(stems, weights, k=60)), "", "", "") for k in range(60)]
     rows += [(None, "window window windo", "", "", ""), (900, None, "", "", ""), (901, "", "", "", ""), (-5, "garden garden gardn", "", "", "")]
-    rows += [(902, "follow " * 40 + "folow " * 15 + "foolow " * 5, "", "", "")]  # a chain of forms
+    rows += [(902, "pattern " * 40 + "patern " * 15 + "patrn " * 5, "", "", "")]  # a chain of forms
     return rows + rows[:4]
 
 
@@ -157,7 +157,7 @@ def test_variants_equal_brute_force(spark, misprints):
     assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
     want = brute_variants(rows, misprints)
     assert sorted(map(tuple, got.collect()), key=str) == want
-    assert ("foolow", "folow", "follow") in {r[:3] for r in want}
+    assert ("patrn", "patern", "pattern") in {r[:3] for r in want}
 
 
 def test_variants_of_nothing_and_of_long_words(spark):
