@@ -8,8 +8,8 @@ from fleetlens.operators import gps, lifecycle
 from fleetlens.plans import bindings as b, demand_queries as dq, gps_queries as gq
 from fleetlens.plans.registry import plain_times, query, r6
 from fleetlens.session import scratch_path, use_utc
-from fleetlens.streaming import io, jobs
-from fleetlens.streaming.normalizer import GpsSinks, LateFilter, normalized_stream
+from fleetlens.streaming import io, jobs, timers
+from fleetlens.streaming.normalizer import GpsSinks, LateFilter, SourceWatermark, normalized_stream
 
 
 def arriving(spark, sf_dir, name):
@@ -181,6 +181,99 @@ def stream_blackouts(spark, sf_dir):
     return plain_times(spark.read.parquet(f"{root}/out"), "started_at", "last_seen_at")
 
 
+def _overdue_sql(key, name, limits):
+    """Runs of equal states in the table ``states`` (key, moment, rank, state) that outlast their limit."""
+    rows = ", ".join(f"('{state}', {seconds})" for state, seconds in limits.items())
+    return f"""limits(state, seconds) AS (VALUES {rows}),
+marked AS (
+  SELECT *, lag(state) OVER (PARTITION BY key ORDER BY moment, rank) AS before FROM states),
+runs AS (
+  SELECT key, state, moment, lead(moment) OVER (PARTITION BY key ORDER BY moment, rank) AS ended FROM marked
+  WHERE before IS DISTINCT FROM state)
+SELECT CAST(key AS VARCHAR) AS {key}, state AS {name}, moment AS started_at, moment + to_seconds(seconds) AS overdue_at
+FROM runs JOIN limits USING (state) WHERE ended IS NULL OR ended > moment + to_seconds(seconds)"""
+
+
+@query(f"""WITH {b.GPS_SQL},
+states AS (
+  SELECT taxi_id AS key, event_time AS moment, event_id AS rank,
+         CASE WHEN status = 'blackout' THEN 'dark' ELSE 'seen' END AS state FROM gps),
+{_overdue_sql("taxi_id", "status", {"dark": 7200})}""".replace(" state AS status,", ""))
+def stream_blackout_alerts(spark, sf_dir):
+    """Vehicles that have been dark for two hours and still are; pings of a vehicle are hours apart in the table."""
+    root = scratch_path(spark, "alert-stream")
+
+    def job(arriving):
+        # Every tenth event is half an hour late, so the watermark waits longer than that.
+        alerts = timers.blackout_alerts(jobs.watermarked(b.gps_events(arriving), "1 hour"), alert_seconds=7200)
+        return io.to_files(alerts, f"{root}/out", f"{root}/checkpoint")
+
+    events = b.table(spark, sf_dir, "events")
+    io.replay(events, "ts", BATCHES, f"{root}/in", job, _closing(events))
+    return plain_times(spark.read.parquet(f"{root}/out"), "started_at", "overdue_at")
+
+
+_STAGE_LIMITS = {"requested": 10 * 86400, "accepted": 20 * 86400, "in_progress": 30 * 86400}
+
+
+@query(f"""WITH states AS (
+  SELECT l_orderkey AS key, l_shipdate + to_minutes(l_linenumber) AS moment, l_linenumber % 4 AS rank,
+         ['requested', 'accepted', 'in_progress', 'completed'][l_linenumber % 4 + 1] AS state FROM lineitem),
+{_overdue_sql("trip_id", "status", _STAGE_LIMITS)}""")
+def stream_stuck_trips(spark, sf_dir):
+    """Trips that stay in a stage for longer than 10, 20 or 30 days; updates of a trip are days apart in the table."""
+    root = scratch_path(spark, "stuck-stream")
+    wanted = ("l_orderkey", "l_linenumber", "l_shipdate")
+    lines = b.table(spark, sf_dir, "lineitem", *wanted)
+
+    def job(arriving):
+        updates = dq.updates_of(arriving).withColumnRenamed("timestamp_utc", "event_time")
+        return io.to_files(timers.stuck_trips(jobs.watermarked(updates, "1 day"), _STAGE_LIMITS), f"{root}/out", f"{root}/checkpoint")
+
+    later = {"l_orderkey": F.lit(-1), "l_linenumber": F.lit(3), "l_shipdate": F.max("l_shipdate") + F.expr("INTERVAL 40 DAYS")}
+    closing = lines.agg(*[later[f.name].cast(f.dataType).alias(f.name) for f in lines.schema])
+    io.replay(lines, "l_shipdate", BATCHES, f"{root}/in", job, closing)
+    return plain_times(spark.read.parquet(f"{root}/out"), "started_at", "overdue_at")
+
+
+_IDLE_SQL = """arrived AS (
+  SELECT event_id AS arrival, CASE WHEN event_id % 1000 < 600 AND event_id % 3 = 0 THEN 1 ELSE 0 END AS source,
+         event_id * 10000 AS received, epoch_us(CASE WHEN event_id % 1000 < 600 AND event_id % 3 = 0 THEN ts - INTERVAL 20 MINUTE
+           WHEN event_id % 10 = 0 THEN ts - INTERVAL 30 MINUTE ELSE ts END) // 1000 AS ms FROM events),
+known AS (
+  SELECT e.arrival, e.received, max(CASE WHEN e.source = s.source THEN ms END) OVER w AS newest,
+         max(CASE WHEN e.source = s.source THEN received END) OVER w AS heard
+  FROM arrived e CROSS JOIN (SELECT DISTINCT source FROM arrived) s
+  WINDOW w AS (PARTITION BY s.source ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+least AS (SELECT arrival, min(newest) FILTER (received - heard <= 30000) AS m FROM known GROUP BY arrival),
+marks AS (SELECT arrival, max(m) OVER (ORDER BY arrival) AS m FROM least)"""
+
+
+@query(f"""WITH {_IDLE_SQL}
+SELECT arrival, source, m AS max_before_ms, coalesce(ms < m - 180001, FALSE) AS is_late,
+       CASE WHEN ms < m - 180001 THEN CAST((m - 180001 - ms) // 1000 AS BIGINT) END AS late_by_sec
+FROM arrived JOIN marks USING (arrival)""")
+def stream_idle_source(spark, sf_dir):
+    """Two sources, one of them slow and at times silent, under one watermark."""
+    root = scratch_path(spark, "sources-stream")
+    marks = SourceWatermark(f"{root}/state")
+
+    def prepared(events):
+        slow = (F.col("event_id") % 1000 < 600) & (F.col("event_id") % 3 == 0)
+        back = F.when(slow, 20).when(F.col("event_id") % 10 == 0, 30).otherwise(0)
+        return events.select(
+            F.col("event_id").alias("arrival"), slow.cast("int").alias("source"),
+            F.timestamp_seconds(F.col("event_id") * 10).alias("received_at"),
+            (F.col("ts").cast("timestamp") - F.make_interval(mins=back)).alias("event_time"))
+
+    def write(batch, batch_id):
+        marks.apply(batch, batch_id).write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    io.replay(b.table(spark, sf_dir, "events", "event_id", "ts"), "event_id", BATCHES, f"{root}/in",
+              lambda arriving: io.each_batch(prepared(arriving), write, f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out").select("arrival", "source", "max_before_ms", "is_late", "late_by_sec")
+
+
 def _lifecycle_sql():
     from fleetlens.plans.registry import ORACLE
     return ORACLE["trip_lifecycle"].split("\nSELECT *,")[0] + " SELECT * FROM firsts"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions import timing, trips as tf
-from fleetlens.operators import trajectory as t
+from fleetlens.operators import thinning, trajectory as t
 from fleetlens.operators.curate import valid_trajectories
 from fleetlens.plans import bindings as b
 from fleetlens.plans.registry import plain_times, query, r6
@@ -123,6 +123,20 @@ def adaptive_sample(spark, sf_dir):
     return t.adaptive_sample(points(spark, sf_dir), min_km=2.0).select("trip_id", "point_index")
 
 
+@query(f"""WITH RECURSIVE {b.POINTS_SQL},
+next AS (
+  SELECT i.trip_id, i.point_index, min(j.point_index) AS then FROM points i JOIN points j
+  ON j.trip_id = i.trip_id AND j.point_index > i.point_index
+     AND (j.point_index - i.point_index >= 4 OR {b.haversine_sql("i.lat", "i.lon", "j.lat", "j.lon")} >= 2) GROUP BY ALL),
+kept AS (
+  SELECT trip_id, point_index FROM points WHERE point_index = 0
+  UNION ALL SELECT n.trip_id, n.then FROM kept k JOIN next n ON n.trip_id = k.trip_id AND n.point_index = k.point_index)
+SELECT trip_id, CAST(point_index AS INTEGER) AS point_index FROM kept""")
+def thin_route(spark, sf_dir):
+    """Sampling against the last point kept."""
+    return thinning.thin(points(spark, sf_dir), min_km=2.0).select("trip_id", "point_index")
+
+
 @query(f"""WITH {_STEPS_SQL}
 SELECT trip_id, CAST(point_index AS INTEGER) AS point_index,
        sum(CASE WHEN km > 5 THEN 1 ELSE 0 END) OVER (PARTITION BY trip_id ORDER BY point_index)::BIGINT AS segment

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from fleetlens.operators import gps
-from fleetlens.operators.lateness import flag_late
+from fleetlens.operators.lateness import IDLE_SECONDS, flag_late, flag_late_by_source, source_state
 from fleetlens.session import small_side
 from fleetlens.sources.serving import newest_per_key
 
@@ -61,6 +61,25 @@ class LateFilter:
         return flag_late(events, sources=self.sources, carried=F.col("seen_ms")).drop("seen_ms")
 
 
+@dataclass
+class SourceWatermark:
+    """Lateness across micro-batches under one watermark over several sources (see ``flag_late_by_source``).
+
+    A row per source is kept under ``state``, in one folder per batch, so a repeated batch sees the same past.
+    """
+
+    state: str
+    idle_seconds: int = IDLE_SECONDS
+
+    def apply(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        past = spark.read.parquet(f"{self.state}/{batch_id - 1}") if batch_id else None
+        judged = flag_late_by_source(batch, idle_seconds=self.idle_seconds, past=past)
+        source_state(judged, past=past).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{self.state}/{batch_id}")
+        return judged
+
+
 @dataclass
 class GpsSinks:
     """Targets of one micro-batch below ``root``: judged events and vehicle positions.
