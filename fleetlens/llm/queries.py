@@ -103,8 +103,8 @@ OP7_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 n AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest, max(page_id) OVER (PARTITION BY h) AS top FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM n
 """
 
@@ -114,7 +114,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path, payloads=False).filter("status = 'record'").select(
-        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.expr("nullif(record_id, '')").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"))
 
 

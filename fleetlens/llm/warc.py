@@ -22,6 +22,8 @@ SMALLEST_REVISIT = 1000
 RECORDS_PER_FILE = 2000
 #: Fixed values of the format.
 VERSION, END, MEMBER = b"WARC/1.", b"\r\n\r\n", b"\x1f\x8b\x08"
+#: A member without content, and the eight bytes of its checksum and size that end it.
+EMPTY, EMPTY_END = zlib.compress(b"", 9, 31)[:-8], bytes(8)
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 VERSION_LINE = re.compile(rb"WARC/1\.\d+\r\n")
@@ -72,7 +74,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     are revisits that refer to it; smaller payloads are all responses. Null payloads are empty. Rows with a
     null id rank last; if all ids of equal payloads are null, or rows repeat, each of them is a response. Line
     ends in an URL become a space. Other columns are ignored. An empty table gives no records. ``compress``
-    makes each record a compressed member of its own, else records are plain.
+    makes each record a compressed member of its own, else records are plain. An empty member follows each record: its
+    last bytes are the separator that the text writer puts after a value, so any reader of compressed files reads on.
     """
     def members(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -80,13 +83,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                 made = []
                 for record in part["value"].slice(first, 1000).to_pylist():
                     engine = zlib.compressobj(6, zlib.DEFLATED, 31)
-                    made.append(engine.compress(record.encode() + END) + engine.flush())
+                    made.append(engine.compress(record.encode() + END) + engine.flush() + EMPTY)
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
 
     records = _records(pages, id_col, url_col, html_col, date)
     if compress:  # the writer puts the bytes of the value as they are
         records = records.mapInArrow(tidy(members), "value binary").select(F.col("value").cast("string").alias("value"))
-    records.write.option("lineSep", END.decode()) \
+    records.write.option("lineSep", (EMPTY_END if compress else END).decode()) \
         .option("maxRecordsPerFile", records_per_file).text(path)
 
 
@@ -158,12 +161,15 @@ def _member(data: memoryview, at: int) -> tuple[bytes, int] | str:
     return b"".join(out), fed - len(engine.unused_data)
 
 
-def _record(data: bytes, view: memoryview, at: int) -> tuple[dict, bytes, int] | str:
+def _record(data: bytes, view: memoryview, at: int) -> tuple[dict | None, bytes, int] | str:
+    """As ``_parse``, for plain and compressed records; an empty member has no fields."""
     if data.startswith(MEMBER, at):
         got = _member(view, at)
         if isinstance(got, str):
             return got
         content, end = got
+        if not content:
+            return None, b"", end
         inner = _parse(content, 0, last=True)
         if isinstance(inner, str):
             return inner
@@ -174,7 +180,7 @@ def _record(data: bytes, view: memoryview, at: int) -> tuple[dict, bytes, int] |
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
     """offset, length, fields (None for a gap), block and what was wrong, in order, for all bytes of an archive.
 
-    Line ends between records belong to neither. Records may be plain or compressed one by one.
+    Line ends and empty members between records belong to neither. Records may be plain or compressed one by one.
     """
     view, at, gap, why = memoryview(data), 0, -1, ""
     while at < len(data):
@@ -185,7 +191,8 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
         if not isinstance(got, str):
             if gap >= 0:
                 yield gap, at - gap, None, b"", why
-            yield at, got[2] - at, got[0], got[1], ""
+            if got[0] is not None:
+                yield at, got[2] - at, got[0], got[1], ""
             at, gap = got[2], -1
             continue
         if gap < 0:

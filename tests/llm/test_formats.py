@@ -257,3 +257,25 @@ def test_long_and_sparse_conversations(spark, name, step):
         assert {r["rewrites"] for r in made} == {rewrites}
         learnt = [r["formatted"][s["start"]:s["end"]] for r in made for s in r["loss"]]
         assert learnt == ([] if rewrites else [t for role, t in turns if role == "assistant"])
+
+
+def test_any_reader_of_compressed_files_sees_all_records(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"page {k} " * (1 + 200 * (k % 3))) for k in range(40)], "page_id long, url string, html string")
+    path = str(tmp_path / "a")
+    warc.write_archives(pages, path, records_per_file=7)
+    files = [p for p in (tmp_path / "a").iterdir() if p.name.startswith("part-")]
+    whole = [gzip.decompress(p.read_bytes()) for p in files]
+    assert sum(x.count(b"WARC/1.0\r\n") for x in whole) == 40 and len(files) > 4
+    assert all(x.endswith(b"\r\n\r\n") for x in whole)
+    plain = [found for x in whole for found in warc.salvage(x)]
+    assert len(plain) == 40 and all(found[2] is not None for found in plain)
+
+
+def test_null_ids_through_the_query(spark, tmp_path):
+    html = "same " * 300
+    rows = [(None, "u", html), (3, "u", html), (5, "v", html), (None, "w", "other " * 300), (None, None, None), (7, "x", "short")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = normal(queries.op7_warc(spark, str(tmp_path)).toPandas())
+    assert got.equals(normal(con.execute(queries.OP7_SQL).df())) and len(got) == 6
