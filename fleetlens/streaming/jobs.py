@@ -76,8 +76,9 @@ class Matcher:
 
     Pings go to a log by day, in time order. A request is matched with the pings of its time as soon as events
     ``wait`` seconds after it have been seen, and again with every batch until it is matched or events
-    ``patience`` seconds after it have come; then it is reported without a taxi. Requests that wait or stay
-    open are kept in one folder per batch, results in another, so a repeated batch replaces its own.
+    ``patience`` seconds after it have come; then it is reported without a taxi. Time is that of the newest event of
+    all batches so far, so neither an old batch nor an empty one sets it back. Requests that wait or stay open, and
+    the newest time, are kept in one folder per batch, results in another, so a repeated batch replaces its own.
     """
 
     log: str
@@ -105,14 +106,19 @@ class Matcher:
             F.col("event_id").alias("request_id"), "event_time", "lat", "lon", "zone_id")
         if batch_id > 0:
             asked = asked.unionByName(spark.read.schema(asked.schema).parquet(f"{self.open}/{batch_id - 1}"))
-        newest = batch.agg(F.max("event_time")).first()[0]
+        seen = batch.select("event_time")
+        if batch_id > 0:
+            seen = seen.unionByName(spark.read.schema(seen.schema).parquet(f"{self.open}_clock/{batch_id - 1}"))
+        newest = seen.agg(F.max("event_time")).first()[0]
+        seen.agg(F.max("event_time").alias("event_time")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{self.open}_clock/{batch_id}")
         self._settle(asked, pings.schema, newest, batch_id)
 
-    def _settle(self, asked: DataFrame, ping_schema, newest, batch_id: int) -> None:
-        """Match what is due; ``newest`` is the newest event seen, null to settle everything."""
+    def _settle(self, asked: DataFrame, ping_schema, newest, batch_id: int, close: bool = False) -> None:
+        """Match what is due at the time of the ``newest`` event seen; everything to ``close``."""
         spark = asked.sparkSession
-        age = F.lit(0) if newest is None else F.unix_timestamp(F.lit(newest)) - F.unix_timestamp("event_time")
-        due = asked if newest is None else asked.filter(age >= self.wait)
+        age = F.unix_timestamp(F.lit(newest)) - F.unix_timestamp("event_time")
+        due = asked if close else asked.filter(age >= self.wait)
         first, last = due.agg(F.min("event_time"), F.max("event_time")).first()
         target = f"{self.matches}/batch_id={batch_id}"
         if first is None:
@@ -124,7 +130,7 @@ class Matcher:
             & F.col("event_time").between(early, F.lit(last)))
         found = materialize(match.match_nearest(due, known, self.fresh), "found")
         unmatched = asked.join(found.filter("taxi_id IS NOT NULL"), "request_id", "left_anti")
-        still = unmatched.filter(age < self.patience + self.wait) if newest is not None else unmatched.limit(0)
+        still = unmatched.limit(0) if close else unmatched.filter(age < self.patience + self.wait)
         self._keep(still, batch_id)
         settled = found.join(spark.read.schema(asked.schema).parquet(f"{self.open}/{batch_id}"), "request_id", "left_anti")
         settled.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
@@ -136,7 +142,7 @@ class Matcher:
         """Settle what is still open after the last batch of a replay."""
         pings = spark.read.parquet(self.log).schema
         asked = spark.read.parquet(f"{self.open}/{last_batch}")
-        self._settle(asked, pings, None, last_batch + 1)
+        self._settle(asked, pings, None, last_batch + 1, close=True)
 
     def results(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.matches).drop("batch_id")

@@ -170,6 +170,23 @@ def test_open_requests_meet_pings_that_come_a_batch_late(spark, tmp_path):
         assert got[4] == (6 if wait else 9)  # at once the taxi known by then; the nearer one if it waits for late pings
 
 
+def test_open_requests_outlast_empty_and_old_batches(spark, tmp_path):
+    def events(*items):
+        return spark.createDataFrame(items, "event_id long, taxi_id long, s long, is_request boolean").select(
+            "event_id", "taxi_id", F.timestamp_seconds("s").alias("event_time"), F.lit(33.55).alias("lat"),
+            F.lit(-7.6).alias("lon"), F.lit(7).alias("zone_id"), F.lit("moving").alias("status"), "is_request")
+
+    for case, batches in enumerate([
+            [events((1, None, T0 + 60, True)), events(), events((2, 5, T0 + 55, False))],  # nothing comes in between
+            [events((1, None, T0 + 60, True)), events((2, 5, T0 + 55, False))]]):  # the ping is older than the request
+        matcher = jobs.Matcher(*(str(tmp_path / f"{name}{case}") for name in ("log", "matches", "open")))
+        for k, batch in enumerate(batches):
+            matcher.write(batch, k)
+            if k + 1 < len(batches):
+                assert spark.read.parquet(f"{matcher.open}/{k}").count() == 1
+        assert [(r.request_id, r.taxi_id) for r in matcher.results(spark).collect()] == [(1, 5)]
+
+
 def test_messages_carry_their_key(spark):
     df = spark.createDataFrame([(7, 1.5)], "taxi_id long, lat double")
     row = io.as_messages(df, F.col("taxi_id")).first()
