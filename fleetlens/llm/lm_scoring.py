@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm import blocks as B
+from fleetlens.llm.blocks import ASK_DDL, LEAST_SHARDS, answered, ask_rows, gathered, in_order, packed, spread, unpacked, word_hashes
 from fleetlens.llm.memory import tidy
 from fleetlens.session import materialize
 
@@ -145,7 +145,7 @@ def _token_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) ->
 
     def block_row(block: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         ids, texts, learnt = (pa.chunked_array([r[c] for r in rows]).combine_chunks() for c in ("doc_id", "text", "learn"))
-        codes, sizes, hashes = B.word_hashes(texts, lower=True)
+        codes, sizes, hashes = word_hashes(texts, lower=True)
         learnt = learnt.to_numpy(zero_copy_only=False).astype(bool)
         often = np.bincount(codes, minlength=len(hashes))
         order = np.argsort(-often, kind="stable")
@@ -156,8 +156,8 @@ def _token_blocks(docs: DataFrame, id_col: str, text_col: str, learn: Column) ->
         counts[-1] = learnt.sum()
         return pa.RecordBatch.from_pylist([{
             "block": block, "doc_ids": ids.to_pylist(), "sizes": sizes.tobytes(), "learn": learnt.tobytes(),
-            "codes": _planes(codes), "words": B.packed([hashes, counts.astype(np.uint64)]),
-            "parts": B.packed([_part(hashes)]), "n_words": len(codes)}], schema)
+            "codes": _planes(codes), "words": packed([hashes, counts.astype(np.uint64)]),
+            "parts": packed([_part(hashes)]), "n_words": len(codes)}], schema)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -191,9 +191,9 @@ class _Tokens:
     def __init__(self, row: dict):
         self.sizes = np.frombuffer(row["sizes"], np.int64)
         words = _codes(row["codes"])
-        asked, = B.unpacked(row["parts"])
+        asked, = unpacked(row["parts"])
         order = np.argsort(asked % row["shards"], kind="stable")
-        count, number = B.in_order(row["known"], order, 2)
+        count, number = in_order(row["known"], order, 2)
         self.count, self.number = count.astype(np.float64), number.astype(np.uint64)
         self.end = len(asked) - 1
         ends = np.cumsum(self.sizes)
@@ -227,14 +227,14 @@ def _pair_shards(context: np.ndarray, word: np.ndarray, seen: np.ndarray, total:
     """The shard of each pair: by context; contexts of a large share of the corpus are split by the word."""
     hot = seen > total / (4 * shards)
     mixed = context * np.uint64(0xD6E8FEB86659FD93)
-    return B.spread(np.where(hot, mixed ^ (word * np.uint64(0x9E3779B97F4A7C15)), mixed), shards)
+    return spread(np.where(hot, mixed ^ (word * np.uint64(0x9E3779B97F4A7C15)), mixed), shards)
 
 
 def _summary(answers: DataFrame, place: int, size: int) -> list[int]:
     """Sums of the figures that each shard has added, as array ``place``, to one of its answers."""
     def figures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = [t[place].tolist() for t in map(B.unpacked, part["data"].to_pylist()) if len(t) > place]
+            rows = [t[place].tolist() for t in map(unpacked, part["data"].to_pylist()) if len(t) > place]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(size), len(rows))),
                                                   pa.array(np.concatenate(rows).astype(np.int64))], ["figure", "value"])
@@ -264,13 +264,13 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     are told apart by a 64-bit hash.
     """
     blocks = _token_blocks(docs, id_col, text_col, learn)
-    shards = max(B.LEAST_SHARDS, -(-(blocks.agg(F.sum("n_words")).first()[0] or 0) // SHARD_WORDS))
+    shards = max(LEAST_SHARDS, -(-(blocks.agg(F.sum("n_words")).first()[0] or 0) // SHARD_WORDS))
 
     def ask_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for block, words in zip(part["block"].to_pylist(), part["words"].to_pylist(), strict=True):
-                hashes, counts = B.unpacked(words)
-                yield B.ask_rows(block, (_part(hashes) % shards).astype(np.int32), [hashes, counts])[0]
+                hashes, counts = unpacked(words)
+                yield ask_rows(block, (_part(hashes) % shards).astype(np.int32), [hashes, counts])[0]
 
     def number_words(told: list[list[np.ndarray]], shard: int) -> list[list[np.ndarray]]:
         hashes = np.concatenate([t[0].astype(np.uint64) for t in told])
@@ -282,8 +282,8 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         answers[0].append(np.array([count.sum(), (count > 0).sum(), (count == 1).sum(), (count == 2).sum()], np.uint64))
         return answers
 
-    asked = blocks.select("block", "words").mapInArrow(tidy(ask_words), B.ASK_DDL)
-    known = materialize(B.answered(asked, number_words), "word-numbers")
+    asked = blocks.select("block", "words").mapInArrow(tidy(ask_words), ASK_DDL)
+    known = materialize(answered(asked, number_words), "word-numbers")
 
     total, distinct, once, twice = _summary(known, 2, 4)
     discount = once / (once + 2 * twice) if once and twice else 0.5
@@ -298,7 +298,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
         for row, tokens in token_rows(parts):
             before, word, taught, _, _ = tokens.pairs()
             context, number, seen = tokens.number[before], tokens.number[word], tokens.count[before]
-            yield B.ask_rows(row["block"], _pair_shards(context, number, seen, total, shards),
+            yield ask_rows(row["block"], _pair_shards(context, number, seen, total, shards),
                              [context, number, taught, seen.astype(np.uint64)], _in_runs)[0]
 
     def pair_codes(told: list[list[np.ndarray]], shard: int) -> list[list[np.ndarray]]:
@@ -324,7 +324,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             before, word, _, at, which = tokens.pairs()
             seen = tokens.count[before]
             order = np.argsort(_pair_shards(tokens.number[before], tokens.number[word], seen, total, shards), kind="stable")
-            share = probabilities(B.in_order(row["codes_of_pairs"], order, 1)[0].astype(np.int64))
+            share = probabilities(in_order(row["codes_of_pairs"], order, 1)[0].astype(np.int64))
             count = tokens.count[tokens.token]
             base = np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
             new = discount * distinct / total if total else 1.0
@@ -342,10 +342,10 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                 pa.array(sums[1]), pa.array(sums[2])],
                 ["doc_id", "learn", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    with_known = blocks.drop("n_words", "words").join(B.gathered(known, "known"), "block")
-    pairs = materialize(B.answered(with_known.mapInArrow(tidy(ask_pairs), B.ASK_DDL), pair_codes), "pair-codes")
+    with_known = blocks.drop("n_words", "words").join(gathered(known, "known"), "block")
+    pairs = materialize(answered(with_known.mapInArrow(tidy(ask_pairs), ASK_DDL), pair_codes), "pair-codes")
     figures = np.array(_summary(pairs, 1, 2 * CLASSES), float)
     backoff = np.minimum((figures[:CLASSES] + 1) / (figures[CLASSES:] + 1), MOST_BACKOFF)
-    return with_known.join(B.gathered(pairs, "codes_of_pairs"), "block", "left").mapInArrow(
+    return with_known.join(gathered(pairs, "codes_of_pairs"), "block", "left").mapInArrow(
         tidy(scores), "doc_id long, learn boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")

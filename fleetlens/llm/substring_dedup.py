@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm import blocks as B
+from fleetlens.llm.blocks import ASK_DDL, answered, ask_rows, gathered, in_order, shard_count, spread, word_hashes, write_blocks
 from fleetlens.llm.memory import tidy
 
 WINDOW, GROUP = 50, 16
@@ -62,7 +62,7 @@ class _Block:
     def __init__(self, doc_ids: pa.Array, texts: pa.Array, window: int):
         group = min(GROUP, window)
         self.ids = pc.fill_null(doc_ids, NO_ID).to_numpy(zero_copy_only=False)
-        codes, self.n_words, hashes = B.word_hashes(texts, lower=False)
+        codes, self.n_words, hashes = word_hashes(texts, lower=False)
         self.words = hashes[codes] if len(codes) else np.empty(0, np.uint64)
         self.doc = np.repeat(np.arange(len(self.ids)), self.n_words)
         self.first = np.cumsum(self.n_words) - self.n_words
@@ -147,25 +147,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with equal ids do not count as each other's reference. Rows come back as often as they are there; other
     columns are ignored. Windows are told apart by two 64-bit hashes.
     """
-    table = B.write_blocks(docs, id_col, text_col)
-    shards = B.shard_count(table)
+    table = write_blocks(docs, id_col, text_col)
+    shards = shard_count(table)
 
     def ask_groups(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(parts):
             found, low, high, _ = _Block(row["doc_ids"], row["texts"], window).groups()
-            yield B.ask_rows(row["block"], B.spread(found, shards), [found, low, high])[0]
+            yield ask_rows(row["block"], spread(found, shards), [found, low, high])[0]
 
     def picked_windows(row: dict) -> tuple[_Block, np.ndarray, tuple[np.ndarray, ...]]:
         block = _Block(row["doc_ids"], row["texts"], window)
         found, _, _, of_window = block.groups()
-        flags, = B.in_order(row["shared"], np.argsort(B.spread(found, shards), kind="stable"), 1)
+        flags, = in_order(row["shared"], np.argsort(spread(found, shards), kind="stable"), 1)
         picked = np.flatnonzero(flags[of_window]) if len(found) else np.empty(0, np.int64)
         return block, picked, block.windows(picked)
 
     def ask_windows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(parts):
             _, _, (one, two, ids, _) = picked_windows(row)
-            yield B.ask_rows(row["block"], B.spread(one, shards), [one, two, ids])[0]
+            yield ask_rows(row["block"], spread(one, shards), [one, two, ids])[0]
 
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "factors"] + ["kept"] * with_text
     factor = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("reference", pa.int64())])
@@ -174,7 +174,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def parse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(parts):
             block, picked, (one, _, _, which) = picked_windows(row)
-            least, = B.in_order(row["least"], np.argsort(B.spread(one, shards), kind="stable"), 1)
+            least, = in_order(row["least"], np.argsort(spread(one, shards), kind="stable"), 1)
             reference = least[which] if len(which) else np.empty(0, np.int64)
             at = block.starts[picked]
             repeated = reference < block.ids[block.doc[at]]
@@ -197,9 +197,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
     texts = table.select("block", "doc_ids", "texts")
-    shared = B.gathered(B.answered(texts.mapInArrow(tidy(ask_groups), B.ASK_DDL), _shared), "shared")
+    shared = gathered(answered(texts.mapInArrow(tidy(ask_groups), ASK_DDL), _shared), "shared")
     with_shared = texts.join(shared, "block", "left")
-    least = B.gathered(B.answered(with_shared.mapInArrow(tidy(ask_windows), B.ASK_DDL), _least_ids), "least")
+    least = gathered(answered(with_shared.mapInArrow(tidy(ask_windows), ASK_DDL), _least_ids), "least")
     ddl = ("doc_id long, n_words long, n_removed long, kept_sha256 string, "
            "factors array<struct<start:long,length:long,reference:long>>" + ", kept string" * with_text)
     return with_shared.join(least, "block", "left").mapInArrow(tidy(parse), ddl)
