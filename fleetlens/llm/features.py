@@ -27,10 +27,13 @@ def code_points(texts: pa.Array) -> list[np.ndarray]:
 
 
 class Buckets:
-    """Distinct buckets of the n-grams of a text. The scratch table is used again for each text."""
+    """Distinct buckets of the n-grams of a text, of the ``chosen`` ones (a flag per bucket) if given.
 
-    def __init__(self, orders: tuple[int, ...] = ORDERS, bits: int = BITS):
-        self.orders, self.bits = orders, bits
+    The scratch table is used again for each text.
+    """
+
+    def __init__(self, orders: tuple[int, ...] = ORDERS, bits: int = BITS, chosen: np.ndarray | None = None):
+        self.orders, self.bits, self.chosen = orders, bits, chosen
         self.last = np.zeros(1 << bits, np.int32)
 
     def __call__(self, data: np.ndarray) -> np.ndarray:
@@ -41,7 +44,8 @@ class Buckets:
             value = value[:-1] * np.uint32(0x01000193) + data[order - 1:] + np.uint32(1)
             if order in self.orders:
                 mixed = (value ^ (value >> np.uint32(15)) ^ np.uint32(order * 0x1ED270B)) * np.uint32(0x9E3779B1)
-                found.append(mixed >> np.uint32(32 - self.bits))
+                bucket = mixed >> np.uint32(32 - self.bits)
+                found.append(bucket if self.chosen is None else bucket[self.chosen[bucket]])
         if not found:
             return np.empty(0, np.uint32)
         bucket = np.concatenate(found)
@@ -51,14 +55,15 @@ class Buckets:
 
 
 def fit(rows: list[np.ndarray], target: np.ndarray, scale: np.ndarray, rounds: int = 4, rate: float = 0.1,
-        seed: int = 7) -> tuple[np.ndarray, float]:
+        seed: int = 7, cost: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights (one per bucket) and bias of a logistic regression on bounded rows.
 
     A row is its distinct buckets, each ``scale`` of the bucket, divided by the root of their number. ``target``
-    holds probabilities. Stochastic gradient steps in a fixed order, shorter for buckets that have moved much;
+    holds probabilities, ``cost`` how much an error in a row counts (1 if not given). Stochastic gradient steps in a fixed order, shorter for buckets that have moved much;
     the weights of the later half of the rounds are averaged.
     """
     weight, moved, mean = (np.zeros(len(scale)) for _ in range(3))
+    cost = np.ones(len(rows)) if cost is None else cost
     bias = float(np.log((target.sum() + 1) / (len(target) - target.sum() + 1)))
     mean_bias, bias_moved, draw = 0.0, 1e-8, np.random.default_rng(seed)
     moved += 1e-8
@@ -68,7 +73,7 @@ def fit(rows: list[np.ndarray], target: np.ndarray, scale: np.ndarray, rounds: i
             row = rows[k]
             value = scale[row] / np.sqrt(max(len(row), 1))
             margin = bias + value @ weight[row]
-            error = 1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target[k]
+            error = cost[k] * (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - target[k])
             gradient = error * value
             moved[row] += gradient * gradient
             weight[row] -= rate * gradient / np.sqrt(moved[row])
@@ -91,13 +96,15 @@ def sampled(docs: DataFrame, most: int) -> DataFrame:
 
 
 def bucket_rows(docs: DataFrame, target: str | Callable[[str], float], orders: tuple[int, ...] = ORDERS,
-                bits: int = BITS) -> tuple[list[np.ndarray], np.ndarray]:
+                bits: int = BITS, chosen: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """Buckets and target of each row of a bounded table with columns doc_id, text, on the driver.
 
     The target is a column, or worked out from the text in the same pass, so a task needs one Python worker.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(chosen)  # a byte a bucket
+
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets(orders, bits)
+        buckets = Buckets(orders, bits, shared.value)
         for part in parts:
             found = [buckets(x).astype(np.int32) for x in code_points(part["text"])]
             aims = part["target"] if isinstance(target, str) else pa.array(
@@ -113,12 +120,13 @@ def bucket_rows(docs: DataFrame, target: str | Callable[[str], float], orders: t
 
 
 def scored(docs: DataFrame, weight: np.ndarray, bias: float, orders: tuple[int, ...] = ORDERS,
-           bits: int = BITS) -> DataFrame:
+           bits: int = BITS, chosen: np.ndarray | None = None) -> DataFrame:
     """doc_id, score for each row of ``docs`` (columns doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast((weight.astype(np.float32), bias))  # four bytes a bucket
+    shared = docs.sparkSession.sparkContext.broadcast((weight.astype(np.float32), bias, chosen))  # five bytes a bucket
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets, (weights, start) = Buckets(orders, bits), shared.value
+        weights, start, flags = shared.value
+        buckets = Buckets(orders, bits, flags)
         for part in parts:
             found = [score(buckets(x), weights, start) for x in code_points(part["text"])]
             yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, pa.float64())], ["doc_id", "score"])

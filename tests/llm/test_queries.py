@@ -2,6 +2,7 @@
 
 import pathlib
 import re
+import zlib
 
 import duckdb
 import pytest
@@ -45,6 +46,26 @@ def test_query_has_a_row_per_document(spark, name):
     assert sorted(r[0] for r in got.select("doc_id").collect()) == sorted(ids)
 
 
+@pytest.mark.parametrize("name, divisor, held", [("op2_lm_score", 5, 1), ("op3_toxicity", 5, 0)])
+def test_held_out_rows(spark, name, divisor, held):
+    for r in entry.queries()[name](spark, SF).select("doc_id", "held_out").collect():
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % divisor == held)
+
+
+def test_toxicity_of_held_out_documents_in_every_language(spark):
+    folder = "/root/testdata/sf0.1"
+    scored = queries.op3_toxicity(spark, folder).filter("held_out") \
+        .join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").filter("toxic IS NOT NULL") \
+        .join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").toPandas()
+    for lang in ("en", "fr", "de", "es"):
+        mine = scored[scored["lang"] == lang]
+        toxic, clean = mine[mine["toxic"] == 1], mine[mine["toxic"] == 0]
+        over = sum((s > clean["score"]).sum() + (s == clean["score"]).sum() / 2 for s in toxic["score"])
+        hit, wrong = (toxic["score"] >= 0.5).sum(), (clean["score"] >= 0.5).sum()
+        assert over / (len(toxic) * len(clean)) >= 0.9, lang
+        assert hit >= 0.8 * len(toxic) and hit >= 0.9 * (hit + wrong), (lang, hit, len(toxic), wrong)
+
+
 def test_simhash_query_equals_brute_force(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     prints = {i: fingerprint(t) for i, t in docs.items()}

@@ -131,6 +131,53 @@ def test_toxicity_on_held_out_documents(spark):
     assert got[400]["score"] == got[401]["score"] and 0 < got[400]["score"] < 1 and got[None]["predicted"] == 1
 
 
+def plain_buckets(text):
+    """Buckets of a text's character n-grams, by the definition."""
+    line = " " + re.sub("[A-Z]", lambda m: m[0].lower(), text) + " " if text else ""
+    found = set()
+    for order in toxicity.ORDERS:
+        for at in range(len(line) - order + 1):
+            value = 0
+            for c in line[at:at + order]:
+                value = (value * 0x01000193 + ord(c) + 1) % 2**32
+            value = (value ^ value >> 15 ^ order * 0x1ED270B % 2**32) * 0x9E3779B1 % 2**32
+            found.add(value >> 32 - toxicity.BITS)
+    return found
+
+
+def test_toxicity_features_and_scores_equal_the_definition(spark):
+    docs, marks = labelled(spark, 100)
+    model = toxicity.train(docs, marks)
+    rows = [(r["doc_id"], plain_buckets(r["text"])) for r in docs.collect()]
+    of = {r["doc_id"]: r["m"] for r in marks.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("m")).collect()}
+    known = [(of[k], b) for k, b in rows if k is not None and k in of]
+    counts = [Counter(x for label, b in known if label == c for x in b) for c in (0, 1)]
+    n = [sum(label == c for label, _ in known) for c in (0, 1)]
+    ratio = {x: math.log((t + 1) / (n[1] + 2)) - math.log((counts[0][x] + 1) / (n[0] + 2))
+             for x, t in counts[1].items() if t >= toxicity.LEAST}
+    chosen = {x for x, r in ratio.items() if r > toxicity.RATIO}
+    assert set(np.flatnonzero(model.chosen).tolist()) == chosen and set(np.flatnonzero(model.weight).tolist()) <= chosen
+
+    def score(buckets):
+        mine = buckets & chosen
+        margin = model.bias + sum(model.weight[x] for x in mine) / math.sqrt(max(len(mine), 1))
+        return round(1 / (1 + math.exp(-margin)), 4)
+
+    got = sorted((str(r["doc_id"]), round(r["score"], 4)) for r in toxicity.score(docs, model).collect())
+    want = sorted((str(k), score(b)) for k, b in rows)
+    assert [x for x, _ in got] == [x for x, _ in want]
+    assert np.allclose([x for _, x in got], [x for _, x in want], atol=2e-4)
+
+
+def test_toxicity_of_a_very_long_text(spark):
+    docs, marks = labelled(spark, 100)
+    model = toxicity.train(docs, marks)
+    filler = "abc defgh fed cab " * 60_000  # 1 MB
+    long = spark.createDataFrame([(1, filler + "villain rotten villain"), (2, filler)], DOCS)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(long, model).collect()}
+    assert got[1] > 0.5 > got[2]
+
+
 def test_toxicity_without_labels(spark):
     docs, marks = labelled(spark, 8)
     model = toxicity.train(docs, marks.limit(0))
