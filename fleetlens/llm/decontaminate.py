@@ -106,8 +106,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     # All windows around the shared groups, compared with the benchmark's by their words.
     near = _small(shared.withColumnsRenamed({"doc_id": "near_id", "text_key": "near_key"}), 64 + 8 * F.size("shared"))
-    close = plain.dropDuplicates(["doc_id", "text_key"]).join(
+    close = plain.join(
         near, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_key") == F.col("near_key"))) \
+        .dropDuplicates(["doc_id", "text_key"]) \
         .select("doc_id", "text_key", "shared", words(F.col("text")).alias("words")) \
         .withColumn("hashes", _word_hashes("words"))
     candidates = []
