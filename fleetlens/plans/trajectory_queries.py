@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions import timing, trips as tf
-from fleetlens.operators import thinning, trajectory as t
+from fleetlens.operators import motion, thinning, trajectory as t
 from fleetlens.operators.curate import valid_trajectories
 from fleetlens.plans import bindings as b
 from fleetlens.plans.registry import plain_times, query, r6
@@ -154,6 +154,51 @@ def smooth_route(spark, sf_dir):
         "trip_id", "point_index", r6("smooth_lat"), r6("smooth_lon"))
 
 
+_NOISE, _DENSITY, _SPEED, _STEP = 100.0, 0.5, 15.0, float(K.GPS_INTERVAL_SECONDS)
+
+# Filter forwards in covariance form, then correct backwards. The covariances (a, b, d) depend on the place in the trip
+# only; p* are those before the measurement, g* the gains of the correction.
+_MOTION_SQL = f"""{b.POINTS_SQL},
+spread AS (
+  SELECT 0 AS k, 0::DOUBLE AS pa, 0::DOUBLE AS pb, 0::DOUBLE AS pd, {_NOISE ** 2}::DOUBLE AS a, 0::DOUBLE AS b,
+         {_SPEED ** 2}::DOUBLE AS d, 1::DOUBLE AS k1, 0::DOUBLE AS k2
+  UNION ALL
+  SELECT k + 1, pa, pb, pd, pa - k1 * pa, pb - k1 * pb, pd - k2 * pb, k1, k2 FROM (
+    SELECT *, pa / (pa + {_NOISE ** 2}::DOUBLE) AS k1, pb / (pa + {_NOISE ** 2}::DOUBLE) AS k2 FROM (
+      SELECT k, a + 2 * {_STEP}::DOUBLE * b + {_STEP ** 2}::DOUBLE * d + {_DENSITY * _STEP ** 3 / 3!r}::DOUBLE AS pa,
+             b + {_STEP}::DOUBLE * d + {_DENSITY * _STEP ** 2 / 2!r}::DOUBLE AS pb, d + {_DENSITY * _STEP!r}::DOUBLE AS pd
+      FROM spread WHERE k < (SELECT max(point_index) FROM points)))),
+gains AS (
+  SELECT s.k, (u * n.pd - v * n.pb) / det AS g1, (v * n.pa - u * n.pb) / det AS g2,
+         (w * n.pd - s.d * n.pb) / det AS g3, (s.d * n.pa - w * n.pb) / det AS g4
+  FROM (SELECT *, a + {_STEP}::DOUBLE * b AS u, b AS v, b + {_STEP}::DOUBLE * d AS w FROM spread) s
+  JOIN (SELECT *, pa * pd - pb * pb AS det FROM spread) n ON n.k = s.k + 1),
+forwards AS (
+  SELECT trip_id, 0 AS k, lat AS y, 0::DOUBLE AS vy, lon AS x, 0::DOUBLE AS vx FROM points WHERE point_index = 0
+  UNION ALL
+  SELECT f.trip_id, f.k + 1, f.y + {_STEP}::DOUBLE * f.vy + s.k1 * (p.lat - f.y - {_STEP}::DOUBLE * f.vy),
+         f.vy + s.k2 * (p.lat - f.y - {_STEP}::DOUBLE * f.vy),
+         f.x + {_STEP}::DOUBLE * f.vx + s.k1 * (p.lon - f.x - {_STEP}::DOUBLE * f.vx),
+         f.vx + s.k2 * (p.lon - f.x - {_STEP}::DOUBLE * f.vx)
+  FROM forwards f JOIN points p ON p.trip_id = f.trip_id AND p.point_index = f.k + 1 JOIN spread s ON s.k = f.k + 1),
+backwards AS (
+  SELECT f.* FROM forwards f JOIN (SELECT trip_id, max(point_index) AS k FROM points GROUP BY 1) l USING (trip_id, k)
+  UNION ALL
+  SELECT f.trip_id, f.k, f.y + g1 * (n.y - f.y - {_STEP}::DOUBLE * f.vy) + g2 * (n.vy - f.vy),
+         f.vy + g3 * (n.y - f.y - {_STEP}::DOUBLE * f.vy) + g4 * (n.vy - f.vy),
+         f.x + g1 * (n.x - f.x - {_STEP}::DOUBLE * f.vx) + g2 * (n.vx - f.vx),
+         f.vx + g3 * (n.x - f.x - {_STEP}::DOUBLE * f.vx) + g4 * (n.vx - f.vx)
+  FROM backwards n JOIN forwards f ON f.trip_id = n.trip_id AND f.k = n.k - 1 JOIN gains g ON g.k = f.k)"""
+
+
+@query(f"""WITH RECURSIVE {_MOTION_SQL}
+SELECT trip_id, CAST(k AS INTEGER) AS point_index, round(y, 5) AS motion_lat, round(x, 5) AS motion_lon FROM backwards""")
+def motion_route(spark, sf_dir):
+    """Smoothing by a motion model, to 5 decimals, since both sides run in another order."""
+    rows = motion.smooth(points(spark, sf_dir), _NOISE, _DENSITY, _SPEED)
+    return rows.select("trip_id", "point_index", *[F.round(c, 5).alias(c) for c in ("motion_lat", "motion_lon")])
+
+
 # --- remapping between boxes ---------------------------------------------------------------------
 _SOURCE_BOX = (33.45, 33.65, -7.75, -7.49)
 _TARGET_BOX = (K.LAT_MIN, K.LAT_MAX, K.LON_MIN, K.LON_MAX)
