@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetlens import constants as K
 from fleetlens.functions import timing, trips as tf
-from fleetlens.operators import motion, thinning, trajectory as t
+from fleetlens.operators import motion, stays, thinning, trajectory as t
 from fleetlens.operators.curate import valid_trajectories
 from fleetlens.plans import bindings as b
 from fleetlens.plans.registry import plain_times, query, r6
@@ -199,6 +199,27 @@ def motion_route(spark, sf_dir):
     return rows.select("trip_id", "point_index", *[F.round(c, 5).alias(c) for c in ("motion_lat", "motion_lon")])
 
 
+@query(f"""WITH RECURSIVE {b.POINTS_SQL},
+ends AS (
+  SELECT i.trip_id, i.point_index, any_value(i.n) AS n, any_value(i.lat) AS lat, any_value(i.lon) AS lon,
+         coalesce(min(j.point_index), any_value(i.n)) AS "end" FROM points i LEFT JOIN points j
+  ON j.trip_id = i.trip_id AND j.point_index > i.point_index AND {b.haversine_sql("i.lat", "i.lon", "j.lat", "j.lon")} > 3
+  GROUP BY 1, 2),
+steps AS (SELECT *, ("end" - 1 - point_index) * 15 >= 30 AS stay FROM ends),
+walk AS (
+  SELECT * FROM steps WHERE point_index = 0
+  UNION ALL
+  SELECT s.* FROM walk w JOIN steps s
+  ON s.trip_id = w.trip_id AND s.point_index = CASE WHEN w.stay THEN w."end" ELSE w.point_index + 1 END)
+SELECT trip_id, CAST(point_index AS BIGINT) AS first_index, CAST("end" - 1 AS BIGINT) AS last_index,
+       CAST(("end" - 1 - point_index) * 15 AS BIGINT) AS seconds, round(lat, 6) AS lat, round(lon, 6) AS lon
+FROM walk WHERE stay""")
+def stay_points(spark, sf_dir):
+    """Stretches of at least 30 s within 3 km; the points of the trips at hand are few and far apart."""
+    rows = stays.stays(points(spark, sf_dir), radius_km=3.0, min_seconds=30)
+    return rows.select("trip_id", "first_index", "last_index", "seconds", r6("lat"), r6("lon"))
+
+
 # --- remapping between boxes ---------------------------------------------------------------------
 _SOURCE_BOX = (33.45, 33.65, -7.75, -7.49)
 _TARGET_BOX = (K.LAT_MIN, K.LAT_MAX, K.LON_MIN, K.LON_MAX)
