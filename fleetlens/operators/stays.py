@@ -62,6 +62,18 @@ def _ends(lats: list[np.ndarray], lons: list[np.ndarray], radius_km: float) -> l
     return np.split(end, np.cumsum(sizes)[:-1])
 
 
+def _first_far(y: np.ndarray, x: np.ndarray, lat: np.ndarray, lon: np.ndarray, radius_km: float) -> np.ndarray:
+    """For each place (y, x) the first of the points that is too far from it; at least one is."""
+    found, open_ = np.zeros(len(y), int), np.arange(len(y))
+    for k in range(len(lat)):
+        far = _km(y[open_], x[open_], lat[k], lon[k]) > radius_km
+        found[open_[far]] = k
+        open_ = open_[~far]
+        if not len(open_):
+            break
+    return found
+
+
 def _tree(blocks: DataFrame, key: str) -> DataFrame:
     """trip_id, level, node, lats, lons: corners of the hull of the 2^level blocks from node * 2^level on."""
     def hulls(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,10 +100,13 @@ def _far_ends(blocks: DataFrame, key: str, radius_km: float, size: int) -> DataF
 
     Points without a position end at the next one.
     """
-    def beyond(lats: str, lons: str) -> Column:
-        places = F.arrays_zip(F.col(lats).alias("y"), F.col(lons).alias("x"))
-        return F.transform(places, lambda p: ~F.isnan(p["y"]) & (
-            geo.haversine_km(F.col("lat"), F.col("lon"), p["y"], p["x"]) > radius_km))
+    some = F.exists(F.arrays_zip(F.col("lats").alias("y"), F.col("lons").alias("x")), lambda p: geo.haversine_km(
+        F.col("lat"), F.col("lon"), p["y"], p["x"]) > radius_km)
+
+    def ended(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for trip, block, node, at, y, x, lat, lon in zip(*(f[c] for c in ("trip_id", "block", "node", "at", "y", "x", "lats", "lons"))):
+                yield pd.DataFrame({"trip_id": trip, "block": block, "at": at, "end": node * size + _first_far(y, x, lat, lon, radius_km)})
 
     tree = _tree(blocks, key)
     lengths = blocks.groupBy("trip_id").agg(F.max(F.col("block") * size + F.size("lats")).alias("length"))
@@ -105,7 +120,7 @@ def _far_ends(blocks: DataFrame, key: str, radius_km: float, size: int) -> DataF
     looking, found, last = materialize(looking, "stays-open"), [], []
     while not looking.isEmpty():
         seen = looking.join(tree, ["trip_id", "level", "node"], "left").withColumns({
-            "past": F.col("lats").isNull(), "some": F.exists(beyond("lats", "lons"), lambda b: b)}).drop("lats", "lons")
+            "past": F.col("lats").isNull(), "some": some}).drop("lats", "lons")
         seen = materialize(seen, "stays-open")
         last.append(seen.filter("past"))
         found.append(seen.filter("NOT past AND some AND level = 0"))
@@ -117,10 +132,10 @@ def _far_ends(blocks: DataFrame, key: str, radius_km: float, size: int) -> DataF
         looking = down.unionByName(on).drop("past", "some")
     ends = points.filter("end < 0 AND isnan(lat)").select("trip_id", "block", "at", (F.col("at") + 1).alias("end"))
     if found:
-        where = reduce(DataFrame.unionByName, found).join(
-            blocks.select("trip_id", F.col("block").alias("node"), "lats", "lons"), ["trip_id", "node"])
-        first = F.array_position(beyond("lats", "lons"), True) - 1
-        ends = ends.unionByName(where.select("trip_id", "block", "at", (F.col("node") * size + first).alias("end")))
+        open_ = reduce(DataFrame.unionByName, found).groupBy("trip_id", "block", "node").agg(
+            F.collect_list("at").alias("at"), F.collect_list("lat").alias("y"), F.collect_list("lon").alias("x"))
+        where = open_.join(blocks.select("trip_id", F.col("block").alias("node"), "lats", "lons"), ["trip_id", "node"])
+        ends = ends.unionByName(where.mapInPandas(ended, f"trip_id {key}, block long, at long, end long"))
         left = reduce(DataFrame.unionByName, last).join(lengths, "trip_id")
         ends = ends.unionByName(left.select("trip_id", "block", "at", F.col("length").alias("end")))
     return ends
