@@ -78,17 +78,20 @@ def replay(events: DataFrame, time: str, slices: int, path: str, writer: Callabl
            *after: DataFrame) -> None:
     """Feed a table to a stream in ``slices`` equal spans of time, then ``after``; each arrives once the one before is done.
 
-    ``writer`` makes the query from the stream of files in ``path``. Its checkpoint carries the state on.
+    ``writer`` makes the query from the stream of files in ``path``. Its checkpoint carries the state on. A slice is dealt
+    out evenly to a file per core, since the file a table comes in may be one task's work, and the query would inherit that.
     """
+    spark = events.sparkSession
     first, last = events.agg(F.min(time), F.max(time)).first()
     if first is None:
         return
     step = (last - first) / slices
     parts = [events.filter((F.col(time) >= F.lit(first + k * step)) & (
         F.col(time) < F.lit(first + (k + 1) * step) if k + 1 < slices else F.lit(True))) for k in range(slices)]
-    for part in [*parts, *after]:
+    spread = [part.repartition(spark.sparkContext.defaultParallelism) for part in parts]
+    for part in [*spread, *after]:
         part.write.mode("append").parquet(path)
-        drain(writer(read_files(events.sparkSession, path, events.schema)))
+        drain(writer(read_files(spark, path, events.schema)))
 
 
 def drain(writer: DataStreamWriter) -> None:
