@@ -43,6 +43,12 @@ def valid_periods(positions: DataFrame, fresh: int = FRESH_SECONDS) -> DataFrame
         "taxi_id", "lat", "lon", "zone_id", "from_us", "until_us")
 
 
+def bulk(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input. Below the broadcast limit it would go through the driver, one such table
+    for each search of each round or batch, which adds up."""
+    return side.hint("merge")
+
+
 def _by_bucket(periods: DataFrame, fresh: int) -> DataFrame:
     """One row per time bucket a period touches: one or two, since a bucket is as long as a period can be."""
     width = fresh * _MICROS
@@ -81,7 +87,7 @@ def match_nearest(requests: DataFrame, positions: DataFrame, fresh: int = FRESH_
     periods = materialize(_by_bucket(valid_periods(positions, fresh), fresh), "periods")
     asked = materialize(_requests(requests, fresh), "requests")
     found = _nearest(asked, periods).withColumn("eta_min", tf.estimated_minutes(F.col("distance_km")))
-    return asked.select("request_id").join(found, "request_id", "left")
+    return asked.select("request_id").join(bulk(found), "request_id", "left")
 
 
 def _nearest(asked: DataFrame, periods: DataFrame, taken: DataFrame | None = None) -> DataFrame:
@@ -92,19 +98,19 @@ def _nearest(asked: DataFrame, periods: DataFrame, taken: DataFrame | None = Non
     """
     def usable(pairs: DataFrame) -> DataFrame:
         alive = pairs.filter((F.col("at_us") >= F.col("from_us")) & (F.col("at_us") < F.col("until_us")))
-        return alive if taken is None else alive.join(taken, ["dispatch", "taxi_id"], "left_anti")
+        return alive if taken is None else alive.join(bulk(taken), ["dispatch", "taxi_id"], "left_anti")
 
     found, open_requests = [], asked
     for size in NEAR_CELLS_DEG:
         close = materialize(_close_by(open_requests, periods, usable, size), "close")
         found.append(close)
-        open_requests = open_requests.join(close, "request_id", "left_anti")
-    own = open_requests.withColumn("zone_id", F.col("req_zone")).join(periods, ["zone_id", "bucket"])
+        open_requests = open_requests.join(bulk(close), "request_id", "left_anti")
+    own = open_requests.withColumn("zone_id", F.col("req_zone")).join(bulk(periods), ["zone_id", "bucket"])
     in_zone = materialize(_best(usable(own), 0), "in-zone")
     found.append(in_zone)
-    open_requests = open_requests.join(in_zone, "request_id", "left_anti")
+    open_requests = open_requests.join(bulk(in_zone), "request_id", "left_anti")
     around = open_requests.withColumn("zone_id", F.explode(geo.zone_neighbours(F.col("req_zone"))))
-    beside = _best(usable(around.join(periods, ["zone_id", "bucket"])), 1)
+    beside = _best(usable(around.join(bulk(periods), ["zone_id", "bucket"])), 1)
     return reduce(DataFrame.unionByName, found, beside)
 
 
@@ -120,8 +126,8 @@ def _close_by(asked: DataFrame, periods: DataFrame, usable, size: float) -> Data
     spread = asked.withColumn("cell_lat", around("req_lat")).withColumn("cell_lon", around("req_lon"))
     # The own zone is part of the join key, so other zones never form pairs.
     pairs = spread.withColumn("zone_id", F.col("req_zone")).join(
-        cells, ["zone_id", "bucket", "cell_lat", "cell_lon"])
-    near = _best(usable(pairs), 0).join(asked.select("request_id", "req_lat"), "request_id")
+        bulk(cells), ["zone_id", "bucket", "cell_lat", "cell_lon"])
+    near = _best(usable(pairs), 0).join(bulk(asked.select("request_id", "req_lat")), "request_id")
     return near.filter(F.col("distance_km") <= _surely_within(size)).drop("req_lat")
 
 
@@ -142,7 +148,7 @@ def match_exclusive(
     for number in itertools.count(1):
         taken = None if kept is None else kept.select("dispatch", "taxi_id")
         offers = materialize(_nearest(open_requests, periods, taken).join(
-            open_requests.select("request_id", "dispatch"), "request_id"), "offers")
+            bulk(open_requests.select("request_id", "dispatch")), "request_id"), "offers")
         if kept is not None and offers.isEmpty():
             return kept.withColumn("eta_min", tf.estimated_minutes(F.col("distance_km")))
         winners = offers.groupBy("dispatch", "taxi_id").agg(
@@ -151,6 +157,6 @@ def match_exclusive(
             F.lit(number).alias("round"))
         kept = materialize(winners if kept is None else kept.unionByName(winners), "kept")
         # A request without an offer can get none later: taxis are only ever taken away.
-        offered = open_requests.join(offers.select("request_id"), "request_id", "left_semi")
+        offered = open_requests.join(bulk(offers.select("request_id")), "request_id", "left_semi")
         open_requests = materialize(
-            offered.join(kept.select("request_id"), "request_id", "left_anti"), "open")
+            offered.join(bulk(kept.select("request_id")), "request_id", "left_anti"), "open")

@@ -129,10 +129,11 @@ class Matcher:
             F.col("day").between(F.to_date(early), F.to_date(F.lit(last)))
             & F.col("event_time").between(early, F.lit(last)))
         found = materialize(match.match_nearest(due, known, self.fresh), "found")
-        unmatched = asked.join(found.filter("taxi_id IS NOT NULL"), "request_id", "left_anti")
+        unmatched = asked.join(match.bulk(found.filter("taxi_id IS NOT NULL")), "request_id", "left_anti")
         still = unmatched.limit(0) if close else unmatched.filter(age < self.patience + self.wait)
         self._keep(still, batch_id)
-        settled = found.join(spark.read.schema(asked.schema).parquet(f"{self.open}/{batch_id}"), "request_id", "left_anti")
+        opened = spark.read.schema(asked.schema).parquet(f"{self.open}/{batch_id}")
+        settled = found.join(match.bulk(opened), "request_id", "left_anti")
         settled.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
 
     def _keep(self, requests: DataFrame, batch_id: int) -> None:
