@@ -13,6 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,18 +49,47 @@ def hull(lat: np.ndarray, lon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[:, 0], out[:, 1]
 
 
-def _ends(lats: list[np.ndarray], lons: list[np.ndarray], radius_km: float) -> list[np.ndarray]:
-    """For each point of each block the first later one in the block that is too far from it; -1 if there is none."""
-    sizes = np.array([len(a) for a in lats])
-    lat, lon, limit = np.concatenate(lats), np.concatenate(lons), np.repeat(np.cumsum(sizes), sizes)
-    end, start = np.full(len(lat), -1), np.repeat(np.cumsum(sizes) - sizes, sizes)
+def _ends(lat: np.ndarray, lon: np.ndarray, sizes: np.ndarray, radius_km: float) -> np.ndarray:
+    """For each point the first later one in its block that is too far from it; -1 if there is none. Blocks follow each other."""
+    start, limit = np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(np.cumsum(sizes), sizes)
+    end = np.full(len(lat), -1)
     open_, step = np.flatnonzero(~np.isnan(lat)), 1
     while len(open_):
         open_ = open_[open_ + step < limit[open_]]
         far = _km(lat[open_], lon[open_], lat[open_ + step], lon[open_ + step]) > radius_km
         end[open_[far]] = open_[far] + step - start[open_[far]]
         open_, step = open_[~far], step + 1
-    return np.split(end, np.cumsum(sizes)[:-1])
+    return end
+
+
+def _flat(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False)
+
+
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Blocks that are searched together, with their numbers of points."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCKS_IN_STEP):
+            part = batch.slice(at, BLOCKS_IN_STEP)
+            yield part, np.diff(part["lats"].offsets.to_numpy())
+
+
+def _short_walk(ends: np.ndarray, lat: np.ndarray, sizes: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Block, first and last point of the stays of trips of a single block, all trips a step at a time."""
+    start, length = np.cumsum(sizes) - sizes, np.repeat(sizes, sizes)
+    at = np.arange(len(ends)) - np.repeat(start, sizes)
+    end = np.where(ends >= 0, ends, length)
+    nexts = np.where((end - at > need) & ~np.isnan(lat), end, at + 1)
+    found = [np.zeros((3, 0), int)]
+    open_, here = np.flatnonzero(sizes > 0), np.zeros(np.count_nonzero(sizes > 0), int)
+    while len(open_):
+        to = nexts[start[open_] + here]
+        stay = to - here > 1
+        found.append(np.stack([open_[stay], here[stay], to[stay] - 1]))
+        on = to < sizes[open_]
+        open_, here = open_[on], to[on]
+    block, first, last = np.concatenate(found, axis=1)
+    return block, first, last
 
 
 def _first_far(y: np.ndarray, x: np.ndarray, lat: np.ndarray, lon: np.ndarray, radius_km: float) -> np.ndarray:
@@ -213,11 +243,21 @@ def stays(points: DataFrame, radius_km: float = 0.1, min_seconds: int = 300,
     known = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     place = F.struct("point_index", *[F.when(known, F.col(c)).otherwise(F.lit(float("nan"))).alias(c) for c in ("lat", "lon")])
 
-    def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for at in range(0, len(f), BLOCKS_IN_STEP):
-                part = f.iloc[at:at + BLOCKS_IN_STEP]
-                yield part.assign(ends=_ends(list(part["lats"]), list(part["lons"]), radius_km))
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sizes in _steps(batches):
+            ends = _ends(_flat(part["lats"]), _flat(part["lons"]), sizes, radius_km)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offsets, pa.array(ends, pa.int64()))],
+                                             [*part.schema.names, "ends"])
+
+    def walked_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sizes in _steps(batches):
+            lat, lon = _flat(part["lats"]), _flat(part["lons"])
+            row, first, last = _short_walk(_flat(part["ends"]), lat, sizes, need)
+            place = (np.cumsum(sizes) - sizes)[row] + first
+            yield pa.RecordBatch.from_arrays(
+                [part["trip_id"].take(pa.array(row)), *map(pa.array, (first, last, (last - first) * seconds, lat[place], lon[place]))],
+                ["trip_id", "first_index", "last_index", "seconds", "lat", "lon"])
 
     def following(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -235,18 +275,17 @@ def stays(points: DataFrame, radius_km: float = 0.1, min_seconds: int = 300,
     blocks = points.groupBy("trip_id", F.floor(F.col("point_index") / size).alias("block")).agg(
         F.sort_array(F.collect_list(place)).alias("p"))
     blocks = materialize(blocks.select("trip_id", "block", F.col("p.lat").alias("lats"), F.col("p.lon").alias("lons"))
-                         .mapInPandas(near, f"{block}, ends array<long>"), "stays-blocks")
+                         .mapInArrow(near, f"{block}, ends array<long>"), "stays-blocks")
+    stay = f"trip_id {key}, first_index long, last_index long, seconds long, lat double, lon double"
     trips = blocks.filter("block > 0").select("trip_id").distinct()
-    any_long = not trips.isEmpty()
-    ready = blocks.withColumn("opened", F.lit(None).cast("array<struct<at: bigint, end: bigint>>"))
-    if any_long:
-        long = blocks.join(trips, "trip_id", "left_semi")
-        ends = _far_ends(long, key, radius_km, size).groupBy("trip_id", "block").agg(
-            F.collect_list(F.struct("at", "end")).alias("opened"))
-        ready = ready.join(trips, "trip_id", "left_anti").unionByName(long.join(ends, ["trip_id", "block"], "left"))
-    ready = materialize(ready.mapInPandas(following, f"{block}, nexts array<long>"), "stays-nexts")
+    if trips.isEmpty():
+        return blocks.mapInArrow(walked_short, stay)
+    short = blocks.join(trips, "trip_id", "left_anti").filter("block = 0").mapInArrow(walked_short, stay)
+    long = blocks.join(trips, "trip_id", "left_semi")
+    ends = _far_ends(long, key, radius_km, size).groupBy("trip_id", "block").agg(
+        F.collect_list(F.struct("at", "end")).alias("opened"))
+    ready = materialize(long.join(ends, ["trip_id", "block"], "left").mapInPandas(following, f"{block}, nexts array<long>"), "stays-nexts")
     first = ready.filter("block = 0").withColumn("entry", F.lit(0).cast("long"))
-    if any_long:
-        entries = _entries(ready.join(trips, "trip_id", "left_semi"), key, size).filter("block > 0")
-        first = first.unionByName(ready.join(entries, ["trip_id", "block"]).select(*first.columns))
-    return first.mapInPandas(walked, f"trip_id {key}, first_index long, last_index long, seconds long, lat double, lon double")
+    entries = _entries(ready, key, size).filter("block > 0")
+    first = first.unionByName(ready.join(entries, ["trip_id", "block"]).select(*first.columns))
+    return short.unionByName(first.mapInPandas(walked, stay))
